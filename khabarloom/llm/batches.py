@@ -60,13 +60,12 @@ class Ledger:
         met = p.join(
             q,
             (F.col("p.run") == F.col("q.run"))
-            & (2 * F.least(np_, nq) >= F.greatest(np_, nq))
-            & _close(F.col("p.simhash"), F.col("q.simhash"))
             & (F.col("p.id") != F.col("q.id"))
-            & runjoin.reachable(np_, F.col("p.pos"), nq, F.col("q.pos")),
+            & _close(F.col("p.simhash"), F.col("q.simhash"))
+            & runjoin.probed(np_, F.col("p.pos"), nq, F.col("q.pos")),
         )
-        counted = met.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b"), np_.alias("na"), nq.alias("nb")).agg(F.count(F.lit(1)).alias("met"))
-        return counted.filter(runjoin.enough(F.col("met"), F.col("na"), F.col("nb"))).select("a", "b")
+        counted = met.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b"), runjoin.least_met(np_, nq).alias("least"))
+        return counted.agg(F.count(F.lit(1)).alias("met")).filter("met >= least").select("a", "b")
 
     def decide(self, batch: DataFrame) -> DataFrame:
         """(id, accepted) for every row of ``batch``, taken one by one in ``order``.

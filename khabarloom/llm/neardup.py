@@ -26,19 +26,9 @@ def near_duplicates(records: DataFrame, key: str = "article_id", text: str = "te
     post = runjoin.postings(reps, "id")
     a, b = post.alias("a"), post.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
-    met = a.join(
-        b,
-        (F.col("a.run") == F.col("b.run"))
-        & (F.col("a.id") < F.col("b.id"))
-        & (2 * F.least(na, nb) >= F.greatest(na, nb))
-        & runjoin.reachable(na, F.col("a.pos"), nb, F.col("b.pos")),
-    )
-    candidates = (
-        met.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b"), na.alias("na"), nb.alias("nb"))
-        .agg(F.count(F.lit(1)).alias("met"))
-        .filter(runjoin.enough(F.col("met"), F.col("na"), F.col("nb")))
-        .select("a", "b")
-    )
+    met = a.join(b, (F.col("a.run") == F.col("b.run")) & (F.col("a.id") < F.col("b.id")) & runjoin.probed(na, F.col("a.pos"), nb, F.col("b.pos")))
+    counted = met.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b"), runjoin.least_met(na, nb).alias("least"))
+    candidates = counted.agg(F.count(F.lit(1)).alias("met")).filter("met >= least").select("a", "b")
     candidates = cut(candidates, "neardup-candidates")
     checked = runjoin.overlap_pairs(candidates, src, key, "_text")
     return checked.filter(2 * F.col("shared") >= F.col("total")).select("a", "b"), members

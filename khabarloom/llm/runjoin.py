@@ -29,6 +29,8 @@ from khabarloom.functions.runs import run_sets, set_keys
 
 #: log2 of the number of frequency counters; one byte each once they are levels.
 COUNTER_BITS = 21
+#: Bits probed beyond the fewest that find every pair: each of them raises by one what a candidate must share.
+SPARE = 6
 _CHUNKS = 64
 _LEVEL_SHIFT = np.uint64(55)
 
@@ -118,23 +120,35 @@ def postings(sets: DataFrame, *columns: str) -> DataFrame:
     return sets.select(*columns, "n", F.posexplode("runs").alias("pos", "run"))
 
 
-def reachable(na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
-    """Whether two texts that share the run at these places can still overlap by 0.5.
+def _third(n: Column) -> Column:
+    return F.floor((n + 2) / 3).cast("int")
 
-    The overlap is at most the runs up to the shared one, plus what is left after it.
+
+def _end(n: Column, need: Column) -> Column:
+    """Place of the last bit that a text of ``n`` runs probes for partners that need ``need`` common runs."""
+    return F.least(F.floor(n / 2).cast("int"), n - need + SPARE)
+
+
+def probed(na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
+    """Whether two texts that share the run at places ``pa_``, ``pb`` probe it for one another.
+
+    The sizes fix the common runs an overlap of 0.5 needs, hence the bits each side may miss; both
+    probe that many, one more, and up to SPARE above. A common run also tells how far the overlap
+    can still reach: the runs up to it, plus what is left after it.
     """
-    need = F.expr("0") + F.floor((na + nb + 2) / 3)
+    need = _third(na + nb)
     most = F.least(pa_, pb) + 1 + F.least(na - pa_ - 1, nb - pb - 1)
-    return most >= need
+    return (2 * F.least(na, nb) >= F.greatest(na, nb)) & (pa_ <= _end(na, need)) & (pb <= _end(nb, need)) & (most >= need)
 
 
-def enough(shared: Column, na: Column, nb: Column) -> Column:
-    """Whether ``shared`` probed bits leave an overlap of 0.5 possible.
+def least_met(na: Column, nb: Column) -> Column:
+    """Probed bits that two texts of these sizes must share.
 
-    All common runs up to the end of the shorter prefix were counted; the rest lies beyond it.
+    Of the two probed stretches one ends first in the common order of bits. What a text has beyond
+    its stretch falls short of the needed overlap by its spare bits and one.
     """
-    big = F.greatest(na, nb)
-    return shared + big - F.floor(big / 2) - 1 >= F.floor((na + nb + 2) / 3)
+    need = _third(na + nb)
+    return 1 + F.least(_end(na, need) - (na - need), _end(nb, need) - (nb - need))
 
 
 def overlap_pairs(pairs: DataFrame, texts: DataFrame, key: str, text: str, width: int = 3) -> DataFrame:
