@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from khabarloom.llm import neardup
+from khabarloom.llm import batches, leaks, looks, mixture, neardup, sitelines
 from khabarloom.runtime import table
 
 
@@ -14,9 +14,36 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return neardup.found(table(spark, d, "articles"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return batches.found(table(spark, d, "articles"), table(spark, d, "incoming_articles"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return sitelines.found(table(spark, d, "articles"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Every document of the mix and how often it is used."""
+    return mixture.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The share that each listed outlet reaches."""
+    return mixture.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return looks.found(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found}
+    named = [p1_found, p2_found, p4_found, p8_found, p9_mix, p9_shares, p10_found]
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p4_found": sitelines.FOUND_SQL}
