@@ -6,9 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from khabarloom.operators import times
+from khabarloom.runtime import table
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    items, articles, zones, months, names = (table(spark, d, t) for t in ("raw_items", "articles", "source_zones", "bs_months", "zone_names"))
+    return times.found(items, articles, zones, months, names)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    named = [p3_found]
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
