@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from khabarloom.llm import batches, leaks, looks, mixture, neardup, sitelines
+from khabarloom.llm import batches, langid, leaks, looks, mixture, neardup, sitelines
 from khabarloom.runtime import table
 
 
@@ -22,6 +23,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return sitelines.found(table(spark, d, "articles"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return langid.found(table(spark, d, "articles"))
+
+
+def p7_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The language of each article's lines, all together."""
+    return langid.document_languages(langid.line_languages(table(spark, d, "articles"))).withColumn("confidence", F.round("confidence", 3))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -41,7 +51,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [p1_found, p2_found, p4_found, p8_found, p9_mix, p9_shares, p10_found]
+    named = [p1_found, p2_found, p4_found, p7_found, p7_documents, p8_found, p9_mix, p9_shares, p10_found]
     return {f.__name__: f for f in named}
 
 
