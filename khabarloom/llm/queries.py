@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from khabarloom.llm import batches, langid, leaks, looks, maintext, mixture, neardup, sitelines
+from khabarloom.llm import batches, langid, leaks, looks, maintext, mixture, neardup, sitelines, truncation
 from khabarloom.runtime import table
 
 
@@ -23,6 +23,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return sitelines.found(table(spark, d, "articles"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.found(table(spark, d, "articles"))
+
+
+def p5_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each outlet's fields are cut."""
+    articles = table(spark, d, "articles")
+    return truncation.cut_rates(articles, truncation.cut_values(articles))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return maintext.found(table(spark, d, "extracted_articles"), table(spark, d, "articles"))
 
@@ -55,7 +65,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [p1_found, p2_found, p4_found, p6_found, p7_found, p7_documents, p8_found, p9_mix, p9_shares, p10_found]
+    named = [p1_found, p2_found, p4_found, p5_found, p5_rates, p6_found, p7_found, p7_documents, p8_found, p9_mix, p9_shares, p10_found]
     return {f.__name__: f for f in named}
 
 
