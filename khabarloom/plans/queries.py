@@ -1,24 +1,408 @@
-"""Named queries over the core operators."""
+"""Named queries over the core operators; each reads its whole tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from khabarloom.operators import times
-from khabarloom.runtime import table
+from khabarloom.functions import fingerprint, html, text, urls
+from khabarloom.operators import articles as art
+from khabarloom.operators import dedupe, schedule, times
+from khabarloom.plans.oracles import ORACLES
+from khabarloom.runtime import shared_dir, table
+from khabarloom.sources import feeds
+from khabarloom.streaming import ingest
 
+#: The instant at which due sources are asked for, in data that ends on 30 August 2026.
+AS_OF = "2026-08-30 01:11:16"
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-def p3_found(spark: SparkSession, d: str) -> DataFrame:
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _s(column: str, name: str | None = None) -> Column:
+    """A time as whole seconds since 1970."""
+    return F.unix_seconds(column).alias(name or f"{column}_s")
+
+
+@query
+def p3_found(spark, d):
     items, articles, zones, months, names = (table(spark, d, t) for t in ("raw_items", "articles", "source_zones", "bs_months", "zone_names"))
     return times.found(items, articles, zones, months, names)
 
 
+@query
+def a5_source_report(spark, d):
+    rows = dedupe.first_per_key(table(spark, d, "articles"), "url_hash", "article_id")
+    return art.source_report(rows).select("source_id", "articles", _s("newest"))
+
+
+@query
+def f11_canonical_url(spark, d):
+    return table(spark, d, "raw_items").select("ordinal", urls.canonical_url(F.col("url")).alias("url"))
+
+
+@query
+def f13_url_hash(spark, d):
+    return table(spark, d, "raw_items").select("ordinal", urls.url_hash(F.col("url")).alias("url_hash"))
+
+
+@query
+def f10_homepage(spark, d):
+    return table(spark, d, "sources").select("id", urls.homepage(F.col("url")).alias("homepage"))
+
+
+@query
+def f14_urljoin(spark, d):
+    rows = table(spark, d, "raw_items")
+    path = F.regexp_extract("url", "^[^:]+://[^/]+(/[^?#]*)", 1)
+    return rows.select("ordinal", urls.join_url(F.concat(F.regexp_extract("url", "^([^:]+://[^/]+)", 1), F.lit("/feed/all")), path).alias("url"))
+
+
+@query
+def f1_clean(spark, d):
+    return table(spark, d, "raw_items").select("ordinal", text.clean(F.col("title")).alias("title"), text.clean(F.col("summary")).alias("summary"))
+
+
+@query
+def f2_strip_tags(spark, d):
+    marked = F.concat(F.lit("<p class='x'>"), F.col("summary"), F.lit("</p><br/>"))
+    return table(spark, d, "raw_items").select("ordinal", text.strip_tags(marked).alias("text"))
+
+
+@query
+def f8_ascii_digits(spark, d):
+    return table(spark, d, "articles").select("article_id", text.ascii_digits(F.col("title")).alias("title"))
+
+
+@query
+def f9_devanagari_share(spark, d):
+    share = text.devanagari_share(F.col("body"))
+    return table(spark, d, "articles").select("article_id", F.round(share, 6).alias("share"), text.looks_devanagari(F.col("body")).alias("devanagari"))
+
+
+@query
+def f31_bool(spark, d):
+    return table(spark, d, "sources").select("id", text.truthy(F.col("active").cast("string")).alias("active"), text.truthy(F.col("notes"), True).alias("notes"))
+
+
+@query
+def f33_log_context(spark, d):
+    return table(spark, d, "sources").select("id", schedule.log_context(F.col("id"), F.col("method"), F.col("homepage")).alias("context"))
+
+
+@query
+def f34_report_line(spark, d):
+    line = schedule.report_line(*(F.col(c) for c in ("source_id", "ok", "not_modified", "items_seen", "items_new", "items_duplicate", "error")))
+    return table(spark, d, "fetch_log").select("id", line.alias("line"))
+
+
+@query
+def d2_tokenize(spark, d):
+    tokens = text.tokenize(F.col("body"))
+    rows = table(spark, d, "articles").select("article_id", tokens.alias("t"))
+    return rows.select("article_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens"))
+
+
+@query
+def d3_runs(spark, d):
+    rows = table(spark, d, "articles").select("article_id", text.runs(text.tokenize(F.col("body"))).alias("r"))
+    return rows.select("article_id", F.size("r").alias("n"), F.md5(F.array_join("r", "|")).alias("runs"))
+
+
+@query
+def d1_first_items(spark, d):
+    rows = table(spark, d, "raw_items").withColumn("url_hash", urls.url_hash(F.col("url")))
+    return dedupe.first_per_key(rows, "url_hash", "ordinal").select("ordinal", "source_id", "url_hash")
+
+
+@query
+def d4_simhash(spark, d):
+    """Every stored fingerprint computed again from its article's text."""
+    rows = table(spark, d, "articles").filter("simhash != 0")
+    t = F.concat("title", F.lit(" "), F.when(F.col("body") == "", F.col("summary")).otherwise(F.col("body")))
+    return rows.select("article_id", fingerprint.simhash(t).alias("simhash"))
+
+
+@query
+def d4b_simhash_md5(spark, d):
+    return table(spark, d, "articles").select("article_id", fingerprint.simhash_md5(F.col("title")).alias("simhash"))
+
+
+@query
+def d5_hamming_pairs(spark, d):
+    return dedupe.near_pairs(table(spark, d, "articles"), "article_id", "simhash")
+
+
+@query
+def d7_greedy_near_dup(spark, d):
+    return dedupe.greedy_keep(table(spark, d, "articles"), "article_id", "simhash")
+
+
+@query
+def d7_kept_report(spark, d):
+    """Flagship: exact and near duplicates gone, what each outlet keeps."""
+    rows = dedupe.first_per_key(table(spark, d, "articles"), "url_hash", "article_id")
+    kept = dedupe.greedy_keep(rows.select("article_id", "simhash"), "article_id", "simhash").filter("kept").select("article_id")
+    return art.source_report(rows.join(kept, "article_id")).select("source_id", "articles", _s("newest"))
+
+
+@query
+def j1_known_items(spark, d):
+    rows = table(spark, d, "raw_items").withColumn("url_hash", urls.url_hash(F.col("url")))
+    return dedupe.known(rows, table(spark, d, "articles")).select("ordinal", "source_id")
+
+
+@query
+def j2_new_items(spark, d):
+    rows = table(spark, d, "raw_items").withColumn("url_hash", urls.url_hash(F.col("url")))
+    return dedupe.unknown(rows, table(spark, d, "articles")).select("ordinal", "source_id")
+
+
+@query
+def j3_due_sources(spark, d):
+    return schedule.due_sources(table(spark, d, "sources"), table(spark, d, "source_state"), F.lit(AS_OF).cast("timestamp")).select("id", "priority")
+
+
+@query
+def j4_item_sources(spark, d):
+    s = table(spark, d, "sources").select(F.col("id").alias("source_id"), "category", "lang")
+    return table(spark, d, "raw_items").join(s, "source_id").groupBy("category", "lang").agg(F.count(F.lit(1)).alias("items"))
+
+
+@query
+def j6_page_fill(spark, d):
+    """Articles filled from the extracted page of their address: author fills gaps, body where it is empty."""
+    pages = table(spark, d, "extracted_articles").groupBy(urls.canonical_url(F.col("url")).alias("url")).agg(F.min_by("body", "page_id").alias("pb"), F.min_by("author", "page_id").alias("pa"))
+    rows = table(spark, d, "articles").join(pages, "url", "left")
+    return rows.select("article_id", F.md5(F.coalesce(F.nullif("body", F.lit("")), "pb", F.lit(""))).alias("body"), F.coalesce("author", "pa").alias("author"))
+
+
+@query
+def j8_orphan_runs(spark, d):
+    return schedule.orphan_runs(table(spark, d, "fetch_log"), table(spark, d, "source_state").filter("last_run_at is not null")).select("id", "source_id")
+
+
+@query
+def k1_inserted(spark, d):
+    from khabarloom.sources.sinks import to_insert
+
+    return to_insert(table(spark, d, "incoming_articles"), table(spark, d, "articles"), "url_hash", "article_id").select("article_id", "source_id", "url_hash")
+
+
+@query
+def k3_saved_state(spark, d):
+    state = schedule.saved_state(table(spark, d, "fetch_log"), table(spark, d, "sources"), table(spark, d, "source_state"))
+    return state.select("id", "etag", _s("last_run_at"), _s("next_run_at"), "consecutive_failures", "last_error")
+
+
+@query
+def op_p1_normalize(spark, d):
+    items, zones, months, names = (table(spark, d, t) for t in ("raw_items", "source_zones", "bs_months", "zone_names"))
+    at = times.item_times(items, zones, months, names).select("ordinal", "at")
+    return art.normalize(items, table(spark, d, "sources"), at).select("ordinal", "source_id", "url_hash", "title", "lang", "category", _s("published_at"), "published_estimated", "simhash")
+
+
+@query
+def op_p2_published_ladder(spark, d):
+    """The ladder over articles: what the article says unless estimated, then when it was fetched."""
+    feed = F.when(~F.col("published_estimated"), F.col("published_at"))
+    at, guess = art.published_ladder(feed, F.lit(None).cast("timestamp"), F.col("fetched_at"))
+    return table(spark, d, "articles").select("article_id", F.unix_seconds(at).alias("published_s"), guess.alias("estimated"))
+
+
+@query
+def op_p3_language(spark, d):
+    s = table(spark, d, "sources").select(F.col("id").alias("source_id"), F.col("lang").alias("outlet"))
+    return table(spark, d, "raw_items").join(s, "source_id").select("ordinal", art.language(F.col("outlet"), F.col("title")).alias("lang"))
+
+
+@query
+def op_p5_implausible(spark, d):
+    return table(spark, d, "articles").filter(art.implausible(F.col("published_at"), F.col("fetched_at"))).select("article_id")
+
+
+@query
+def op_p8_selected(spark, d):
+    return table(spark, d, "sources").filter("active and priority <= 2").select("id")
+
+
+@query
+def op_p9_article_text(spark, d):
+    return table(spark, d, "articles").select("article_id", F.md5(text.article_text(F.col("title"), F.col("body"), F.col("summary"))).alias("text"))
+
+
+@query
+def op_p10_poll_interval(spark, d):
+    return table(spark, d, "sources").select("id", schedule.poll_interval(F.col("priority")).alias("minutes"))
+
+
+@query
+def op_p11_error_cut(spark, d):
+    return table(spark, d, "fetch_log").filter("error is not null").select("id", text.truncate_error(F.repeat("error", 300)).alias("error"))
+
+
+@query
+def a1_run_counters(spark, d):
+    return schedule.run_counters(table(spark, d, "fetch_log"))
+
+
+@query
+def a2_cycle_summary(spark, d):
+    return schedule.cycle_summary(table(spark, d, "fetch_log")).withColumn("day", F.col("day").cast("string"))
+
+
+@query
+def a3_config_counts(spark, d):
+    return table(spark, d, "sources").agg(F.count(F.lit(1)).alias("configured"), F.count_if("active").alias("active"))
+
+
+@query
+def a4_estimated(spark, d):
+    return table(spark, d, "articles").groupBy("source_id").agg(F.count_if("published_estimated").alias("estimated"), F.count(F.lit(1)).alias("articles"))
+
+
+@query
+def a11_unhealthy(spark, d):
+    return schedule.unhealthy(table(spark, d, "fetch_log"), 2)
+
+
+@query
+def w2_failure_streak(spark, d):
+    return schedule.failure_streaks(table(spark, d, "fetch_log")).select("id", "source_id", "streak")
+
+
+@query
+def w3_next_run(spark, d):
+    return schedule.next_runs(table(spark, d, "fetch_log"), table(spark, d, "sources")).select("id", "streak", "backoff", _s("next_run_at"))
+
+
+@query
+def w4_inventory(spark, d):
+    return art.inventory(table(spark, d, "sources")).select("id", "active", "rank")
+
+
+@query
+def w5_first_items(spark, d):
+    return art.first_per_source(table(spark, d, "raw_items"), 25).select("ordinal", "source_id", "rank")
+
+
+@query
+def o1_recent_fingerprints(spark, d):
+    return art.recent_fingerprints(table(spark, d, "articles"), F.lit("2026-01-01").cast("timestamp")).select("url_hash", "simhash", _s("published_at"))
+
+
+@query
+def s1_rss_items(spark, d):
+    """Items written as RSS, a feed of one item each, and read back."""
+    esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    tag = lambda n, c: F.concat(F.lit(f"<{n}>"), esc(F.coalesce(c, F.lit(""))), F.lit(f"</{n}>"))
+    item = F.concat(F.lit("<rss><channel><item>"), tag("title", F.col("title")), tag("link", F.col("url")), tag("description", F.col("summary")), tag("pubDate", F.col("published")), F.lit("</item></channel></rss>"))
+    payloads = table(spark, d, "raw_items").select("ordinal", F.lit("https://feeds.example/all").alias("url"), item.alias("payload"))
+    return feeds.feed_items(payloads, ["ordinal"]).select("ordinal", "url", "title", "published")
+
+
+_CARDS = {"listing": {"item": "div.card", "link": "h2 a@href", "title": "h2 a", "summary": "div.text > p"}}
+
+
+@query
+def s2_listing_items(spark, d):
+    """Items written as cards of a listing page and read back with a selector pack."""
+    esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    path = F.regexp_extract("url", "^[^:]+://[^/]+(/[^#]*)", 1)
+    card = F.concat(F.lit('<div class="ad"><h2><a href="/x">x</a></h2></div><div class="card big"><h2><a href="'), esc(path), F.lit('">'), esc(F.col("title")), F.lit('</a></h2><div class="text"><b><p>no</p></b><p>'), esc(F.col("summary")), F.lit("</p></div></div>"))
+    pages = table(spark, d, "raw_items").select("ordinal", F.lit("https://list.example/all").alias("url"), card.alias("html"))
+    return feeds.listing_items(pages, _CARDS, ["ordinal"]).select("ordinal", "url", "title", "summary")
+
+
+_PACK = {"article": {"body": "div.story > p", "author": "jsonld:author.name", "published": "time@datetime", "image": "meta[property='og:image']@content"}, "exclude": ["script", "div.story p.ad"]}
+
+
+@query
+def f29_extract(spark, d):
+    """Articles written as pages and read back: paragraphs, JSON-LD, attributes, exclusions."""
+    paras = F.array_join(F.transform(F.filter(F.split("body", "\n"), lambda x: F.trim(x) != ""), lambda x: F.concat(F.lit("<p>"), F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")))), "<p class='ad'>buy</p>")
+    ld = F.concat(F.lit('<script type="application/ld+json">{"@graph":[{"@type":"Organization","author":{"name":"no"}},{"@type":["NewsArticle"],"author":[{"name":"'), F.coalesce("author", F.lit("")), F.lit('"}]}]}</script>'))
+    page = F.concat(F.lit("<html><head><meta property='og:image' content='i.jpg'>"), ld, F.lit("</head><body><nav><p>menu</p></nav><div class='story x'>"), paras, F.lit("</div><time datetime='2026-01-02'>x</time>"))
+    got = table(spark, d, "articles").select("article_id", html.extract(page, _PACK).alias("e"))
+    return got.select("article_id", F.md5("e.body").alias("body"), "e.author", "e.published", "e.image")
+
+
+@query
+def s8_retry_after(spark, d):
+    header = F.when(F.col("id") % 3 == 0, F.col("items_seen").cast("string")).when(F.col("id") % 3 == 1, F.concat(F.lit(" "), (F.col("items_seen") * 10).cast("string"))).otherwise("Wed, 21 Oct 2026 07:28:00 GMT")
+    return table(spark, d, "fetch_log").select("id", urls.retry_after(header).alias("seconds"))
+
+
+@query
+def s7_robots(spark, d):
+    rows = table(spark, d, "raw_items").select("ordinal", "url")
+    origins = rows.select(F.regexp_extract("url", "^([^:/?#]+://[^/?#]*)", 1).alias("origin")).distinct()
+    robots = origins.withColumn("text", F.when(F.col("origin").startswith("https"), "User-agent: *\nDisallow: /desh/\n"))
+    return feeds.allowed_by_robots(rows, robots).select("ordinal")
+
+
+@query
+def s11_source_validation(spark, d):
+    rows = table(spark, d, "sources")
+    return art.validate_sources(rows).select("id", "problem")
+
+
+@query
+def a8_daily_volume(spark, d):
+    return art.daily_volume(table(spark, d, "articles")).withColumn("day", F.col("day").cast("string"))
+
+
+@query
+def a9_week_over_week(spark, d):
+    return art.week_over_week(table(spark, d, "articles")).withColumn("week", F.col("week").cast("string"))
+
+
+@query
+def d9_cosine_neighbours(spark, d):
+    rows = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return art.cosine_neighbours(rows, rows.filter("vec_id % 20 = 0"))
+
+
+@query
+def t1_stream_insert(spark, d):
+    """Incoming articles as a stream of files, inserted if absent; equal to the batch result."""
+    import uuid
+
+    at = f"{shared_dir(spark)}/t1-{uuid.uuid4().hex}"
+    rows = table(spark, d, "incoming_articles").select("article_id", "source_id", "url_hash")
+    rows.repartitionByRange(4, "article_id").sortWithinPartitions("article_id").write.parquet(f"{at}/in")
+    stream = ingest.read_stream(spark, f"{at}/in", rows.schema.simpleString()[7:-1].replace(":", " "), 4)
+    ingest.ingest_stream(stream, f"{at}/out", f"{at}/log", order="article_id").awaitTermination()
+    return spark.read.parquet(f"{at}/out").select("article_id", "source_id", "url_hash")
+
+
+@query
+def t3_state_stream(spark, d):
+    """Run state kept by a stream over the whole log; equal to the state computed at once."""
+    import uuid
+
+    at = f"{shared_dir(spark)}/t3-{uuid.uuid4().hex}"
+    s = table(spark, d, "sources").select(F.col("id").alias("source_id"), schedule.poll_interval(F.col("priority")).alias("interval"))
+    runs = table(spark, d, "fetch_log").join(s, "source_id").select("source_id", "started_at", "id", "ok", "interval")
+    runs.write.parquet(f"{at}/in")
+    stream = ingest.read_stream(spark, f"{at}/in", "source_id string, started_at timestamp, id bigint, ok boolean, interval int", 1_000_000)
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/out/batch={number}")
+
+    ingest.state_stream(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out").select("source_id", "consecutive_failures", _s("next_run_at"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [p3_found]
-    return {f.__name__: f for f in named}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in ORACLES.items() if k in _QUERIES}
