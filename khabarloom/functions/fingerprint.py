@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -41,13 +41,17 @@ def md5_hash(gram: Column) -> Column:
     return F.conv(F.substring(F.md5(gram), 1, 16), 16, -10).cast("long")
 
 
+def _adds_bit(i: int) -> Callable[[Column, Column], Column]:
+    return lambda n, h: n + F.getbit(h, F.lit(i)).cast("int")
+
+
 def simhash_md5(text: Column) -> Column:
     """The same fold over MD5 digests, without leaving the JVM."""
 
     def fold(hashes: Column) -> Column:
         out = F.lit(0).cast("long")
         for i in range(64):
-            ones = F.aggregate(hashes, F.lit(0), lambda n, h, i=i: n + F.getbit(h, F.lit(i)).cast("int"))
+            ones = F.aggregate(hashes, F.lit(0), _adds_bit(i))
             out = out.bitwiseOR(F.when(2 * ones > F.size(hashes), F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
         return out
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from khabarloom.functions.fingerprint import hamming
@@ -31,43 +34,79 @@ def unknown(items: DataFrame, stored: DataFrame, key: str = "url_hash") -> DataF
     return items.join(stored.select(key), key, "left_anti")
 
 
-def bands(fingerprint: Column, distance: int = DISTANCE) -> Column:
-    """(band, value) pairs: one more band than bits may differ, so close fingerprints share one."""
-    n = distance + 1
-    width, wide = divmod(64, n)
-    out, at = [], 0
-    for i in range(n):
-        size = width + (i < wide)
-        mask = (1 << size) - 1
-        value = F.shiftrightunsigned(fingerprint, at).bitwiseAND(F.lit(mask).cast("long"))
-        out.append(F.struct(F.lit(i).alias("band"), value.alias("value")))
-        at += size
-    return F.array(*out)
+#: Equal parts of the 64 bits, and in how many bits each may differ; the radii plus one add up to one more than DISTANCE.
+PARTS = [list(range(i, i + 16)) for i in range(0, 64, 16)]
+RADII = (2, 1, 1, 1)
+
+
+def part_value(fingerprint: Column, bits: list[int]) -> Column:
+    """The fingerprint's bits at these places, packed together in their order."""
+    out, at, i = F.lit(0).cast("long"), 0, 0
+    bits = sorted(bits)
+    while i < len(bits):
+        k = i
+        while k + 1 < len(bits) and bits[k + 1] == bits[k] + 1:
+            k += 1
+        size = k - i + 1
+        piece = F.shiftrightunsigned(fingerprint, bits[i]).bitwiseAND(F.lit((1 << size) - 1).cast("long")) if size < 64 else fingerprint
+        out = out.bitwiseOR(F.shiftleft(piece, at))
+        at, i = at + size, k + 1
+    return out
+
+
+def _masks(width: int, radius: int) -> list[int]:
+    return [sum(1 << i for i in c) for n in range(radius + 1) for c in combinations(range(width), n)]
 
 
-def near_pairs(rows: DataFrame, key: str, fingerprint: str, distance: int = DISTANCE) -> DataFrame:
-    """(a, b, distance), a < b: distinct fingerprints' first keys within ``distance``; zeros are near nothing.
+def partition_pairs(rows: DataFrame, key: str, fingerprint: str, parts: list[list[int]], radii: Sequence[int], distance: int = DISTANCE) -> DataFrame:
+    """(a, b, distance), a < b: distinct fingerprints' first keys within ``distance``; 0 and NULL are near nothing.
 
-    Rows of one fingerprint are one node, named by its smallest key, so a group of copies is joined
-    as one row. Pairs are verified where they meet: a pair is counted in the first band it shares.
+    By the generalised pigeonhole principle two fingerprints within ``distance`` differ in at most
+    ``radii[i]`` bits of some part i, if the radii plus one add up to more than ``distance``; a part
+    with radius -1 is not searched. One side of the join has its own value of each part, the other
+    all values within the radius. Rows of one fingerprint are one node, named by its smallest key.
+    A pair is verified where it meets and counted in the first part that brings it together.
     """
+    if sum(r + 1 for r in radii) <= distance:
+        raise ValueError("these radii would miss pairs")
     nodes = rows.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0).groupBy(F.col(fingerprint).alias("f")).agg(F.min(key).alias("id"))
-    parts = nodes.select("id", "f", F.explode(bands(F.col("f"), distance)).alias("p")).select("id", "f", "p.band", "p.value")
-    a, b = parts.alias("a"), parts.alias("b")
+    own, near = [], []
+    for i, (bits, r) in enumerate(zip(parts, radii)):
+        if r >= 0:
+            value = part_value(F.col("f"), bits)
+            own.append(F.struct(F.lit(i).alias("part"), value.alias("value")))
+            masks = F.array(*(F.lit(m).cast("long") for m in _masks(len(bits), r)))
+            near.append(_near(masks, i, value))
+    held = nodes.select("id", "f", F.explode(F.array(*own)).alias("p")).select("id", "f", "p.part", "p.value")
+    asks = nodes.select("id", "f", F.explode(F.flatten(F.array(*near))).alias("p")).select("id", "f", "p.part", "p.value")
+    a, b = asks.alias("a"), held.alias("b")
     d = hamming(F.col("a.f"), F.col("b.f"))
-    met = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.id") < F.col("b.id")) & (d <= distance))
-    same = F.transform(F.arrays_zip(bands(F.col("a.f"), distance).alias("x"), bands(F.col("b.f"), distance).alias("y")), lambda z: z["x"]["value"] == z["y"]["value"])
-    return met.filter(F.array_position(same, True) - 1 == F.col("a.band")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), d.alias("distance"))
+    x = F.col("a.f").bitwiseXOR(F.col("b.f"))
+    first = F.lit(None).cast("int")
+    for i in reversed(range(len(parts))):
+        if radii[i] >= 0:
+            first = F.when(F.bit_count(part_value(x, parts[i])) <= radii[i], i).otherwise(first)
+    met = a.join(b, (F.col("a.part") == F.col("b.part")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.id") < F.col("b.id")) & (d <= distance))
+    return met.filter(first == F.col("a.part")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), d.alias("distance"))
+
+
+def _near(masks: Column, part: int, value: Column) -> Column:
+    return F.transform(masks, lambda m: F.struct(F.lit(part).alias("part"), value.bitwiseXOR(m).alias("value")))
+
+
+def near_pairs(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:
+    """(a, b, distance), a < b: distinct fingerprints' first keys within DISTANCE bits."""
+    return partition_pairs(rows, key, fingerprint, PARTS, RADII)
 
 
-def greedy_keep(rows: DataFrame, key: str, fingerprint: str, distance: int = DISTANCE) -> DataFrame:
+def greedy_keep(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:
     """(key, kept): rows taken in order of ``key``, each rejected if an earlier kept one is near.
 
     The first maximal independent set in arrival order: rounds accept every open row without an
     earlier open neighbour and reject the neighbours of accepted ones, each written to the shared
     folder. Zero and NULL fingerprints are always kept.
     """
-    edges = cut(near_pairs(rows, key, fingerprint, distance).select("a", "b"), "greedy-edges")
+    edges = cut(near_pairs(rows, key, fingerprint).select("a", "b"), "greedy-edges")
     usable = rows.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0)
     nodes = usable.groupBy(F.col(fingerprint).alias("f")).agg(F.min(key).alias("id"))
     touched = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
