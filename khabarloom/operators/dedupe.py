@@ -23,7 +23,7 @@ def first_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     """
     firsts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias(order)).select(order)
     keyless = rows.filter(F.col(key).isNull())
-    return rows.join(firsts, order, "left_semi").unionByName(keyless.select(*rows.columns))
+    return rows.join(firsts, order, "left_semi").select(*rows.columns).unionByName(keyless)
 
 
 def known(items: DataFrame, stored: DataFrame, key: str = "url_hash") -> DataFrame:

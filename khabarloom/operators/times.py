@@ -240,9 +240,11 @@ def settle(reads: DataFrame) -> DataFrame:
 def item_times(items: DataFrame, zones: DataFrame, bs_months: DataFrame, zone_names: DataFrame) -> DataFrame:
     """(source_id, ordinal, at): each readable item's instant, whole seconds since 1970 UTC, fractions dropped.
 
-    ``ordinal`` is unique; NULL, empty and unreadable values have no row.
+    ``ordinal`` names an item; one that is there twice counts once, with its earliest instant. NULL,
+    empty and unreadable values have no row.
     """
-    return settle(readings(items, zones, bs_months, zone_names))
+    settled = settle(readings(items, zones, bs_months, zone_names))
+    return settled.groupBy("ordinal").agg(F.min("source_id").alias("source_id"), F.min("at").alias("at"))
 
 
 def found(items: DataFrame, articles: DataFrame, zones: DataFrame, bs_months: DataFrame, zone_names: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
 def to_insert(batch: DataFrame, table: DataFrame | None, key: str = "url_hash", order: str = "ordinal") -> DataFrame:
     """Rows of the batch that the table does not hold, the first per key; rows with a NULL key never conflict."""
     first = first_per_key(batch, key, order)
-    return first if table is None else first.join(table.select(key), key, "left_anti")
+    return first if table is None else first.join(table.select(key), key, "left_anti").select(*batch.columns)
 
 
 def upsert(batch: DataFrame, path: str, key: str = "url_hash", order: str = "ordinal") -> int:
