@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from khabarloom.llm import runjoin
+from khabarloom.llm.neardup import RUNS_SQL
 from khabarloom.runtime import cut, shared_dir
 
 #: Bits in which the fingerprints of two near-duplicates may differ.
@@ -30,7 +31,8 @@ class Ledger:
 
     ``history`` and batches have ``id`` (unique over both), ``order`` (comparable, ascending in
     time), ``url_hash``, ``simhash`` and ``text``. A NULL ``url_hash`` matches nothing, a NULL or 0
-    ``simhash`` and a text without tokens are near nothing. Further columns are ignored.
+    ``simhash`` and a text without tokens are near nothing. Rows of one id are one row. Further
+    columns are ignored.
     """
 
     def __init__(self, history: DataFrame, buckets: int = 24) -> None:
@@ -85,7 +87,7 @@ class Ledger:
         for t in self.texts:
             texts = texts.unionByName(t)
         near = runjoin.overlap_pairs(candidates, texts, "id", "text").filter(2 * F.col("shared") >= F.col("total"))
-        near = cut(near.select("a", "b", "old"), "batch-near")
+        near = cut(near.select("a", "b", "old").distinct(), "batch-near")
 
         urls = self.urls[0]
         for u in self.urls[1:]:
@@ -147,4 +149,34 @@ def found(articles: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming rows that are not accepted, all of ``articles`` being accepted."""
     ledger = Ledger(_rows(articles, F.struct(F.lit(0).alias("batch_no"), F.col("article_id"))))
     verdict = ledger.decide(_rows(incoming, F.struct("batch_no", "article_id")))
-    return verdict.filter("not accepted").select(F.col("id").alias("article_id"))
+    return verdict.filter("not accepted").select(F.col("id").alias("article_id")).distinct()
+
+
+FOUND_SQL = f"""
+WITH RECURSIVE {RUNS_SQL.format('articles')}, {RUNS_SQL.format('incoming_articles')},
+old AS (
+  SELECT DISTINCT i.article_id FROM (
+    SELECT a.article_id, b.article_id AS other FROM runs_incoming_articles a JOIN runs_articles b ON a.run = b.run
+    GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)) p
+  JOIN incoming_articles i ON i.article_id = p.article_id JOIN articles o ON o.article_id = p.other
+  WHERE i.simhash <> 0 AND o.simhash <> 0 AND bit_count(xor(i.simhash, o.simhash)) <= 8
+  UNION SELECT article_id FROM incoming_articles WHERE url_hash IN (SELECT url_hash FROM articles)
+), near AS (
+  SELECT p.a, p.b FROM (
+    SELECT a.article_id AS a, b.article_id AS b FROM runs_incoming_articles a JOIN runs_incoming_articles b ON a.run = b.run AND a.article_id <> b.article_id
+    GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)) p
+  JOIN incoming_articles i ON i.article_id = p.a JOIN incoming_articles o ON o.article_id = p.b
+  WHERE i.simhash <> 0 AND o.simhash <> 0 AND bit_count(xor(i.simhash, o.simhash)) <= 8
+  UNION SELECT a.article_id, b.article_id FROM incoming_articles a JOIN incoming_articles b ON a.url_hash = b.url_hash AND a.article_id <> b.article_id
+), ordered AS (
+  SELECT article_id, row_number() OVER (ORDER BY batch_no, article_id) AS rn, article_id IN (SELECT article_id FROM old) AS old,
+    coalesce((SELECT list(b) FROM near WHERE a = article_id), []) AS nears FROM incoming_articles
+), walk AS (
+  SELECT 0::BIGINT AS rn, NULL::BIGINT AS article_id, true AS taken, []::BIGINT[] AS held
+  UNION ALL
+  SELECT o.rn, o.article_id, NOT o.old AND NOT list_has_any(w.held, o.nears),
+    CASE WHEN NOT o.old AND NOT list_has_any(w.held, o.nears) THEN list_append(w.held, o.article_id) ELSE w.held END
+  FROM walk w JOIN ordered o ON o.rn = w.rn + 1
+)
+SELECT article_id FROM walk WHERE rn > 0 AND NOT taken
+"""

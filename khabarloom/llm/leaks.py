@@ -146,4 +146,4 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Every document and the items it holds 20 consecutive words of."""
-    return leaks(documents, items).select("doc_id", "item_id")
+    return leaks(documents, items, spans=False).select("doc_id", "item_id").distinct()

@@ -177,4 +177,4 @@ def found(documents: DataFrame) -> DataFrame:
     _, members = same_looks(documents, "doc_id", "text")
     a, b = members.alias("a"), members.alias("b")
     pairs = a.join(b, (F.col("a.form.f1") == F.col("b.form.f1")) & (F.col("a.form.f2") == F.col("b.form.f2")) & (F.col("a.rep") != F.col("b.rep")) & (F.col("a.doc_id") < F.col("b.doc_id")))
-    return pairs.select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"))
+    return pairs.select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b")).distinct()

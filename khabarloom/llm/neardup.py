@@ -14,14 +14,15 @@ def near_duplicates(records: DataFrame, key: str = "article_id", text: str = "te
 
     ``members``: (key, rep) names for every text with at least one run the smallest key of its
     class; a class is the texts of one run set. ``pairs``: (a, b), a < b, both representatives.
-    Within a class every pair overlaps fully. ``key`` must be unique and not NULL. NULL texts count
-    as empty; texts without a token are in no class. Rows may carry any other columns.
+    Within a class every pair overlaps fully. ``key`` names a text; a row that is there twice counts
+    once. NULL texts count as empty; texts without a token are in no class. Rows may carry any other
+    columns, whatever their names.
     """
     src = records.select(F.col(key), F.col(text).alias("_text"))
     levels = runjoin.frequency_levels(src, "_text")
     sets = cut(runjoin.ordered_sets(src, key, "_text", levels), "neardup-sets")
     classes = sets.groupBy("hi", "lo").agg(F.min(key).alias("rep"))
-    members = sets.select(key, "hi", "lo").join(classes, ["hi", "lo"]).select(key, "rep")
+    members = sets.select(key, "hi", "lo").distinct().join(classes, ["hi", "lo"]).select(key, "rep")
     reps = sets.groupBy("hi", "lo", "n").agg(F.min(key).alias("id"), F.first("runs").alias("runs"))
     post = runjoin.postings(reps, "id")
     a, b = post.alias("a"), post.alias("b")
@@ -31,7 +32,7 @@ def near_duplicates(records: DataFrame, key: str = "article_id", text: str = "te
     candidates = counted.agg(F.count(F.lit(1)).alias("met")).filter("met >= least").select("a", "b")
     candidates = cut(candidates, "neardup-candidates")
     checked = runjoin.overlap_pairs(candidates, src, key, "_text")
-    return checked.filter(2 * F.col("shared") >= F.col("total")).select("a", "b"), members
+    return checked.filter(2 * F.col("shared") >= F.col("total")).select("a", "b").distinct(), members
 
 
 def all_pairs(pairs: DataFrame, members: DataFrame, key: str = "article_id") -> DataFrame:
@@ -52,3 +53,27 @@ def found(articles: DataFrame) -> DataFrame:
     """Pairs of articles with an overlap of 0.5 or more, smaller id first."""
     pairs, members = near_duplicates(articles.select("article_id", runjoin.story_text().alias("text")))
     return all_pairs(pairs, members).select(F.col("a").alias("article_a"), F.col("b").alias("article_b"))
+
+
+def groups(articles: DataFrame) -> DataFrame:
+    """(article_id, rep, links): each article's class and how many other classes overlap it by 0.5 or more.
+
+    Articles without a token are a class of their own.
+    """
+    pairs, members = near_duplicates(articles.select("article_id", runjoin.story_text().alias("text")))
+    links = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
+    classed = members.join(links, "rep", "left").select("article_id", "rep", F.coalesce("links", F.lit(0)).alias("links"))
+    alone = articles.select("article_id").join(members.select("article_id"), "article_id", "left_anti")
+    return classed.unionByName(alone.select("article_id", F.col("article_id").alias("rep"), F.lit(0).cast("long").alias("links")))
+
+
+RUNS_SQL = r"""
+tokens_{0} AS (SELECT article_id, regexp_extract_all(lower(title || ' ' || CASE WHEN body = '' THEN summary ELSE body END), '[\p{{L}}\p{{N}}_\x{{0900}}-\x{{097F}}]+') AS t FROM {0}),
+sets_{0} AS (SELECT article_id, list_distinct(CASE WHEN len(t) >= 3 THEN list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' ')) WHEN len(t) > 0 THEN [array_to_string(t, ' ')] ELSE [] END) AS r FROM tokens_{0}),
+runs_{0} AS (SELECT article_id, len(r) AS n, unnest(r) AS run FROM sets_{0})"""
+
+FOUND_SQL = f"""
+WITH {RUNS_SQL.format('articles')}
+SELECT a.article_id AS article_a, b.article_id AS article_b FROM runs_articles a JOIN runs_articles b ON a.run = b.run AND a.article_id < b.article_id
+GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)
+"""

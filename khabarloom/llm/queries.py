@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from khabarloom.llm import batches, langid, leaks, looks, maintext, mixture, neardup, sitelines, truncation
+from khabarloom.llm import batches, gph, langid, leaks, looks, maintext, mixture, neardup, sitelines, truncation
 from khabarloom.runtime import table
 
 
@@ -15,6 +15,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return neardup.found(table(spark, d, "articles"))
 
 
+def p1_fingerprint_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Articles whose stored fingerprints differ in at most 8 bits."""
+    return gph.fingerprint_pairs(table(spark, d, "articles"), "article_id", "simhash")
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every article with its class of equal run sets and the number of other classes it overlaps."""
+    return neardup.groups(table(spark, d, "articles"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return batches.found(table(spark, d, "articles"), table(spark, d, "incoming_articles"))
 
@@ -65,9 +75,14 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [p1_found, p2_found, p4_found, p5_found, p5_rates, p6_found, p7_found, p7_documents, p8_found, p9_mix, p9_shares, p10_found]
+    named = [p1_found, p1_fingerprint_pairs, p1_groups, p2_found, p4_found, p5_found, p5_rates, p6_found, p7_found, p7_documents, p8_found, p9_mix, p9_shares, p10_found]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": sitelines.FOUND_SQL}
+    return {
+        "p1_found": neardup.FOUND_SQL,
+        "p1_fingerprint_pairs": gph.PAIRS_SQL,
+        "p2_found": batches.FOUND_SQL,
+        "p4_found": sitelines.FOUND_SQL,
+    }
