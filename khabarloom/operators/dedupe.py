@@ -94,6 +94,24 @@ def _near(masks: Column, part: int, value: Column) -> Column:
     return F.transform(masks, lambda m: F.struct(F.lit(part).alias("part"), value.bitwiseXOR(m).alias("value")))
 
 
+def near_known(rows: DataFrame, stored: DataFrame, key: str, fingerprint: str) -> DataFrame:
+    """(key, known): for each row the smallest stored key within DISTANCE bits; zeros are near nothing.
+
+    Both sides are reduced to distinct fingerprints before they meet.
+    """
+    mine = rows.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0).select(F.col(fingerprint).alias("f")).distinct()
+    theirs = stored.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0).groupBy(F.col(fingerprint).alias("g")).agg(F.min(key).alias("known"))
+    own, near = [], []
+    for i, (bits, r) in enumerate(zip(PARTS, RADII)):
+        own.append(F.struct(F.lit(i).alias("part"), part_value(F.col("g"), bits).alias("value")))
+        near.append(_near(F.array(*(F.lit(m).cast("long") for m in _masks(len(bits), r))), i, part_value(F.col("f"), bits)))
+    asks = mine.select("f", F.explode(F.flatten(F.array(*near))).alias("p")).select("f", "p.part", "p.value")
+    held = theirs.select("g", "known", F.explode(F.array(*own)).alias("p")).select("g", "known", "p.part", "p.value")
+    met = asks.join(held, ["part", "value"]).filter(hamming(F.col("f"), F.col("g")) <= DISTANCE)
+    best = met.groupBy("f").agg(F.min("known").alias("known"))
+    return rows.join(best, F.col(fingerprint) == F.col("f")).select(key, "known")
+
+
 def near_pairs(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:
     """(a, b, distance), a < b: distinct fingerprints' first keys within DISTANCE bits."""
     return partition_pairs(rows, key, fingerprint, PARTS, RADII)

@@ -96,6 +96,18 @@ ORACLES: dict[str, str] = {
     "j3_due_sources": "SELECT id, priority FROM sources WHERE active AND id NOT IN (SELECT id FROM source_state WHERE next_run_at > TIMESTAMPTZ '2026-08-30 01:11:16+00')",
     "j4_item_sources": "SELECT s.category, s.lang, count(*) AS items FROM raw_items i JOIN sources s ON s.id = i.source_id GROUP BY 1, 2",
     "j8_orphan_runs": "SELECT id, source_id FROM fetch_log WHERE source_id NOT IN (SELECT id FROM source_state WHERE last_run_at IS NOT NULL)",
+    "j7_near_known": """
+      SELECT i.article_id, min(a.article_id) AS known FROM incoming_articles i JOIN articles a ON bit_count(xor(i.simhash, a.simhash)) <= 8
+      WHERE i.simhash <> 0 AND a.simhash <> 0 AND a.published_at >= TIMESTAMPTZ '2026-01-01 00:00:00+00' GROUP BY 1""",
+    "j5_packs": "SELECT id, selectors AS pack FROM sources",
+    "f15_bs_dates": """
+      SELECT (bs_year * 10000 + bs_month * 100 + d)::BIGINT AS ordinal, epoch_us(first_day::DATE + (d - 1)::INTEGER)::BIGINT // 1000000 + 14 * 3600 + 29 * 60 + 53 - 20700 AS at
+      FROM (SELECT *, unnest(range(1, days + 1)) AS d FROM bs_months)""",
+    "f19_feed_dates": "SELECT id AS ordinal, epoch_us(started_at) // 1000000 AS at FROM fetch_log",
+    "f18_iso_dates": "SELECT l.id AS ordinal, epoch_us(started_at) // 1000000 AS at FROM fetch_log l JOIN source_zones z USING (source_id) WHERE z.zone IN ('Asia/Kathmandu', 'Asia/Kolkata')",
+    "f24_jsonld_value": f"SELECT article_id, {_CLEAN.format('title')} AS title FROM articles",
+    "t4_unchanged": "SELECT source_id, count(*) AS unchanged FROM fetch_log WHERE ok AND not_modified GROUP BY 1",
+    "x1_never_logged": "SELECT id FROM sources WHERE id NOT IN (SELECT source_id FROM fetch_log)",
     "k1_inserted": """
       SELECT article_id, source_id, url_hash FROM (SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY article_id) AS r FROM incoming_articles)
       WHERE r = 1 AND url_hash NOT IN (SELECT url_hash FROM articles)""",

@@ -188,6 +188,20 @@ def j8_orphan_runs(spark, d):
     return schedule.orphan_runs(table(spark, d, "fetch_log"), table(spark, d, "source_state").filter("last_run_at is not null")).select("id", "source_id")
 
 
+@query
+def j7_near_known(spark, d):
+    """Incoming articles near an accepted one published from 2026 on (the recent fingerprints)."""
+    recent = table(spark, d, "articles").filter(F.col("published_at") >= F.lit("2026-01-01").cast("timestamp"))
+    return dedupe.near_known(table(spark, d, "incoming_articles"), recent, "article_id", "simhash")
+
+
+@query
+def j5_packs(spark, d):
+    """Outlets with their selector pack, if they name one that is there."""
+    packs = table(spark, d, "sources").filter("selectors is not null").select(F.col("selectors").alias("pack")).distinct()
+    return table(spark, d, "sources").join(packs, F.col("selectors") == F.col("pack"), "left").select("id", "pack")
+
+
 @query
 def k1_inserted(spark, d):
     from khabarloom.sources.sinks import to_insert
@@ -267,6 +281,18 @@ def a4_estimated(spark, d):
     return table(spark, d, "articles").groupBy("source_id").agg(F.count_if("published_estimated").alias("estimated"), F.count(F.lit(1)).alias("articles"))
 
 
+@query
+def t4_unchanged(spark, d):
+    """Runs that a conditional request ended early, by outlet."""
+    return table(spark, d, "fetch_log").filter("ok and not_modified").groupBy("source_id").agg(F.count(F.lit(1)).alias("unchanged"))
+
+
+@query
+def x1_never_logged(spark, d):
+    """Outlets without a single run."""
+    return table(spark, d, "sources").select("id").join(table(spark, d, "fetch_log").select(F.col("source_id").alias("id")), "id", "left_anti")
+
+
 @query
 def a11_unhealthy(spark, d):
     return schedule.unhealthy(table(spark, d, "fetch_log"), 2)
@@ -333,6 +359,47 @@ def f29_extract(spark, d):
     return got.select("article_id", F.md5("e.body").alias("body"), "e.author", "e.published", "e.image")
 
 
+@query
+def f15_bs_dates(spark, d):
+    """Every day of the calendar written as a Bikram Sambat date, and read."""
+    months = table(spark, d, "bs_months")
+    names = F.array(*(F.lit(x) for x in ("वैशाख", "जेठ", "असार", "साउन", "भदौ", "असोज", "कात्तिक", "मंसिर", "पुस", "माघ", "फागुन", "चैत")))
+    rows = months.withColumn("day", F.explode(F.sequence(F.lit(1), F.col("days"))))
+    number = F.col("bs_year") * 10000 + F.col("bs_month") * 100 + F.col("day")
+    written = F.translate(F.format_string("%s %d, %d 14:29:53", F.element_at(names, F.col("bs_month")), F.col("day"), F.col("bs_year")), text.ASCII_DIGITS, text.DEVANAGARI_DIGITS)
+    items = rows.select(F.lit("x").alias("source_id"), number.cast("long").alias("ordinal"), written.alias("published"), F.lit(None).cast("timestamp").alias("fetched_at"))
+    got = times.item_times(items, table(spark, d, "source_zones"), months, table(spark, d, "zone_names"))
+    return got.select("ordinal", "at")
+
+
+@query
+def f19_feed_dates(spark, d):
+    """Start times of runs written as feed dates with Nepal's offset, and read."""
+    log = table(spark, d, "fetch_log")
+    local = F.from_utc_timestamp("started_at", "Asia/Kathmandu")
+    written = F.concat(F.lit("Mon, "), F.date_format(local, "dd MMM yyyy HH:mm:ss"), F.lit(" +0545"))
+    items = log.select("source_id", F.col("id").alias("ordinal"), written.alias("published"), F.col("started_at").alias("fetched_at"))
+    return times.item_times(items, *(table(spark, d, t) for t in ("source_zones", "bs_months", "zone_names"))).select("ordinal", "at")
+
+
+@query
+def f18_iso_dates(spark, d):
+    """Start times written without a zone, in each outlet's own clock, and read."""
+    zones = table(spark, d, "source_zones")
+    log = table(spark, d, "fetch_log").join(zones.filter("zone in ('Asia/Kathmandu', 'Asia/Kolkata')"), "source_id")
+    written = F.date_format(F.from_utc_timestamp("started_at", F.col("zone")), "yyyy-MM-dd'T'HH:mm:ss")
+    items = log.select("source_id", F.col("id").alias("ordinal"), written.alias("published"), F.col("started_at").alias("fetched_at"))
+    return times.item_times(items, zones, table(spark, d, "bs_months"), table(spark, d, "zone_names")).select("ordinal", "at")
+
+
+@query
+def f24_jsonld_value(spark, d):
+    """Titles written into JSON-LD beside an organisation, and read by path."""
+    ld = F.to_json(F.array(F.struct(F.lit("Organization").alias("@type"), F.lit("no").alias("headline")), F.struct(F.lit("NewsArticle").alias("@type"), F.col("title").alias("headline"))))
+    page = F.concat(F.lit('<script type="application/ld+json">{broken</script><script type="application/ld+json">'), ld, F.lit("</script>"))
+    return table(spark, d, "articles").select("article_id", html.extract(page, {"article": {"body": "jsonld:headline"}})["body"].alias("title"))
+
+
 @query
 def s8_retry_after(spark, d):
     header = F.when(F.col("id") % 3 == 0, F.col("items_seen").cast("string")).when(F.col("id") % 3 == 1, F.concat(F.lit(" "), (F.col("items_seen") * 10).cast("string"))).otherwise("Wed, 21 Oct 2026 07:28:00 GMT")

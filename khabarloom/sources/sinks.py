@@ -35,5 +35,21 @@ def _count(spark: SparkSession, path: str) -> int:
     return 0 if t is None else t.count()
 
 
+# The stored tables and their columns.
+TABLES = {
+    "articles": "source_id string, url string, url_hash string, title string, body string, summary string, author string, lang string, category string, published_at timestamp, published_estimated boolean, fetched_at timestamp, image_url string, simhash bigint",
+    "source_state": "id string, etag string, last_modified string, last_run_at timestamp, next_run_at timestamp, consecutive_failures int, last_error string",
+    "fetch_log": "id bigint, source_id string, started_at timestamp, finished_at timestamp, items_seen int, items_new int, items_duplicate int, not_modified boolean, ok boolean, error string",
+}
+
+
+def create_all(spark: SparkSession, folder: str) -> list[str]:
+    """Create the tables that are not there yet, empty; returns their names."""
+    made = [name for name in TABLES if stored(spark, f"{folder}/{name}") is None]
+    for name in made:
+        spark.createDataFrame([], TABLES[name]).write.parquet(f"{folder}/{name}")
+    return made
+
+
 def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
