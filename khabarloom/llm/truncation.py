@@ -22,6 +22,8 @@ from khabarloom.runtime import cut
 
 #: A word is known from this many occurrences inside texts; it ends titles from this many and this share of them.
 KNOWN, ENDS, ENDS_SHARE = 2, 2, 0.002
+#: Words of fewer occurrences are judged by their last three letters, which end titles from this share on.
+RARE, ENDING_SHARE = 20, 0.02
 #: A line counts as whole when this many distinct texts hold it.
 WHOLE_LINES = 4
 #: A length is a limit of an outlet's field when this many distinct values have it, and so many times those of near lengths.
@@ -98,8 +100,9 @@ def judge_alone(field: str, value: str, body: str) -> tuple[str, str, int, bool]
     if _prose(end) or last != last.rstrip(" "):
         return "text", token, key, True
     before = lines[-2].strip() if len(lines) > 1 else ""
-    after_story = bool(before) and (_prose(before) or bool(_MARK.search(before))) and not _BULLET.match(last)
-    return ("text" if after_story else "ask"), token, key, True
+    listed = bool(_BULLET.match(last))
+    after_story = bool(before) and (_prose(before) or bool(_MARK.search(before))) and not listed
+    return ("text" if after_story else "ask"), token, key, not listed
 
 
 def _flat(body: str) -> str:
@@ -178,18 +181,24 @@ def limits(values: DataFrame) -> DataFrame:
 def cut_values(records: DataFrame, key: str = "article_id", source: str = "source_id", title: str = "title", body: str = "body", summary: str = "summary") -> DataFrame:
     """(key, source, field): every value that was cut off. NULL, empty and blank values are not cut."""
     values = cut(evidence(records, key, source, body, summary), "cut-evidence")
-    words = cut(vocabulary(records, title, body, summary), "cut-words").filter(F.col("n") >= KNOWN)
+    every = cut(vocabulary(records, title, body, summary), "cut-words")
+    words = every.filter(F.col("n") >= KNOWN)
+    endings = every.groupBy(F.substring("word", -3, 3).alias("ending")).agg(F.sum("n").alias("en"), F.sum("ends").alias("ee"))
     open_ = values.filter(F.col("verdict").isin("ask", "text"))
     # the trie: a node for every proper prefix of a known word
     nodes = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("word") - 1, F.lit(1))), lambda i: F.substring("word", F.lit(1), i))).alias("node")).distinct()
     asked = open_.select("token").distinct()
     known = asked.join(words.withColumnRenamed("word", "token"), "token", "left")
     known = known.join(nodes.select(F.col("node").alias("token"), F.lit(True).alias("inside")), "token", "left")
+    known = known.join(endings, F.substring("token", -3, 3) == F.col("ending"), "left")
+    zero = F.lit(0)
+    own = (F.coalesce("ends", zero) >= ENDS) & (F.coalesce("ends", zero) >= ENDS_SHARE * F.col("n"))
+    like = (F.coalesce("ee", zero) >= ENDS) & (F.coalesce("ee", zero) >= ENDING_SHARE * F.col("en")) & (F.char_length("token") > 3)
     known = known.select(
         "token",
         F.col("n").isNotNull().alias("is_word"),
         F.coalesce("inside", F.lit(False)).alias("is_prefix"),
-        ((F.coalesce("ends", F.lit(0)) >= ENDS) & (F.coalesce("ends", F.lit(0)) >= ENDS_SHARE * F.col("n"))).alias("ends_title"),
+        F.when(F.coalesce("n", zero) >= RARE, own).otherwise(own | like).alias("ends_title"),
     )
     piled = limits(values).withColumn("at_limit", F.lit(True))
     told = open_.join(known, "token", "left")
@@ -203,7 +212,7 @@ def cut_values(records: DataFrame, key: str = "article_id", source: str = "sourc
         F.when(F.coalesce("whole_line", no), False)
         .when(at_limit | (F.col("verdict") == "text"), True)
         .when(F.coalesce("is_word", no), F.col("strict") & ~F.coalesce("ends_title", no))
-        .otherwise(F.coalesce("is_prefix", no))
+        .otherwise(F.coalesce("is_prefix", no) & ~F.coalesce("ends_title", no))
     )
     sure = values.filter("verdict = 'cut'").select("key", "source", "field")
     out = sure.unionByName(told.filter(is_cut).select("key", "source", "field"))
