@@ -24,6 +24,8 @@ from khabarloom.runtime import cut
 #: A path is furniture of a host from this many distinct pages and this share of them; of all hosts, from these counts.
 LEAST_PAGES, LEAST_SHARE = 5, 0.004
 LEAST_HOSTS, LEAST_ANYWHERE = 3, 10
+#: A path that many hosts have still needs this share of a host's pages, which bounds a host's list.
+WIDE_SHARE = 0.0005
 #: Furniture opens a list of teasers if what follows it is a headline this often.
 OPENS = 0.5
 _LONGEST_FORM = 160
@@ -115,6 +117,7 @@ def winning_paths(pages: DataFrame, host: str = "host", body: str = "body") -> D
     both = by_host.drop("opens", "led").join(anywhere, "path").join(totals.withColumnRenamed("host", "_h"), F.col("host").eqNullSafe(F.col("_h")))
     here = (F.col("n") >= LEAST_PAGES) & (F.col("n") >= LEAST_SHARE * F.col("total"))
     wide = (F.col("hosts") >= LEAST_HOSTS) & (F.col("all_n") >= LEAST_ANYWHERE)
+    wide = wide & (F.col("n") >= WIDE_SHARE * F.col("total"))
     won = both.filter((here | wide) & ~F.col("path").rlike(BYLINE.pattern))
     opener = (F.col("all_opens") >= OPENS * F.col("all_led")) & (F.size(F.split("path", " ")) <= 6)
     return won.groupBy("host").agg(F.collect_list("path").alias("furniture"), F.collect_list(F.when(opener, F.col("path"))).alias("openers"))
