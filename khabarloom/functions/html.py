@@ -6,6 +6,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -122,6 +123,7 @@ def _compile_part(part: str) -> list[tuple]:
     return tests
 
 
+@lru_cache(maxsize=1024)
 def compile_selector(css: str) -> list[list[tuple[str, list[tuple]]]]:
     """Alternatives of (combinator, tests), left to right; types, classes, ids, attributes,
     descendants and children, :not, :nth-child, :first-child, :first-of-type."""
