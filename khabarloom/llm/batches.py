@@ -1,8 +1,8 @@
 """Problem 2: new batches against everything accepted so far.
 
 ``Ledger`` keeps, in a folder all executors reach, an inverted index of rare-run prefixes and the
-accepted address keys. A batch is probed against it without reading the history's texts again;
-only texts of candidate pairs are read, to verify them. Postings are bucketed by run, so a probe
+accepted address keys. A batch is probed against it without breaking the history into runs again;
+only the texts of candidate pairs are, to verify them. Postings are bucketed by run, so a probe
 shuffles the batch and never the history.
 """
 

@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from khabarloom.runtime import cut
+
 # Letters that look alike, as Latin / Cyrillic pairs and Latin / Greek pairs.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХԌԚԜҮаеѕіјорсухһԁԛԝҽӏ", "ABESIJKMHOPCTYXGQWYaesijopcyxhdqwel"))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανιγυκϳϲ", "ABEZHIKMNOPTYXoaviyukjc"))
@@ -163,7 +165,7 @@ def same_looks(texts: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     rep) with two or more reps per form. Copies of one text make one class entry, so a group of
     copies of any size costs its number of rows. NULL texts look like nothing; empty ones are equal.
     """
-    keys = form_keys(texts, key, text)
+    keys = cut(form_keys(texts, key, text), "look-keys")
     form = F.struct("f1", "f2")
     reps = keys.groupBy("f1", "f2", "t1", "t2").agg(F.min(key).alias("rep"))
     several = reps.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("f1", "f2")
