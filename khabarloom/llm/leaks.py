@@ -18,7 +18,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from khabarloom.llm.looks import visual_form
+from khabarloom.llm.looks import form_sql, visual_form
 
 #: Consecutive words in common that make a leak.
 WORDS = 20
@@ -147,3 +147,14 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Every document and the items it holds 20 consecutive words of."""
     return leaks(documents, items, spans=False).select("doc_id", "item_id").distinct()
+
+
+def _grams_sql(table: str, key: str) -> str:
+    return f"""SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - {WORDS - 2}), lambda i: hash(w[i:i + {WORDS - 1}]))) AS gram
+      FROM (SELECT {key}, regexp_extract_all(lower({form_sql('text')}), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS w FROM {table}) WHERE len(w) >= {WORDS}"""
+
+
+FOUND_SQL = f"""
+WITH d AS ({_grams_sql('documents', 'doc_id')}), i AS ({_grams_sql('eval_items', 'item_id')})
+SELECT DISTINCT doc_id, item_id FROM d JOIN i USING (gram)
+"""

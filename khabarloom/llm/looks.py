@@ -180,3 +180,20 @@ def found(documents: DataFrame) -> DataFrame:
     a, b = members.alias("a"), members.alias("b")
     pairs = a.join(b, (F.col("a.form.f1") == F.col("b.form.f1")) & (F.col("a.form.f2") == F.col("b.form.f2")) & (F.col("a.rep") != F.col("b.rep")) & (F.col("a.doc_id") < F.col("b.doc_id")))
     return pairs.select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b")).distinct()
+
+
+def form_sql(column: str) -> str:
+    """SQL for the form of texts whose words are all Latin or Devanagari."""
+    to = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)} | {c: "-" for c in HYPHENS} | {c: "\n" for c in BREAKS} | _TO_LATIN
+    to |= {chr(c): " " for c in [0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000]}
+    source, target = "".join(to) + INVISIBLE, "".join(to.values()).replace("'", "''")
+    out = column
+    for whole, parts in (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl")):
+        out = f"replace({out}, '{whole}', '{parts}')"
+    return f"nfc_normalize(translate({out}, '{source}', '{target}'))"
+
+
+FOUND_SQL = f"""
+WITH forms AS (SELECT doc_id, text, {form_sql('text')} AS form FROM documents)
+SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM forms a JOIN forms b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text
+"""

@@ -77,3 +77,16 @@ WITH {RUNS_SQL.format('articles')}
 SELECT a.article_id AS article_a, b.article_id AS article_b FROM runs_articles a JOIN runs_articles b ON a.run = b.run AND a.article_id < b.article_id
 GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)
 """
+
+GROUPS_SQL = f"""
+WITH {RUNS_SQL.format('articles')},
+keyed AS (SELECT article_id, md5(array_to_string(list_sort(r), '|')) AS k FROM sets_articles WHERE len(r) > 0),
+reps AS (SELECT k, min(article_id) AS rep FROM keyed GROUP BY 1),
+pairs AS (
+  SELECT a.article_id AS a, b.article_id AS b FROM runs_articles a JOIN runs_articles b ON a.run = b.run AND a.article_id <> b.article_id
+  WHERE a.article_id IN (SELECT rep FROM reps) AND b.article_id IN (SELECT rep FROM reps)
+  GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)
+), links AS (SELECT a AS rep, count(*) AS links FROM pairs GROUP BY 1)
+SELECT x.article_id, coalesce(r.rep, x.article_id) AS rep, coalesce(l.links, 0) AS links
+FROM articles x LEFT JOIN keyed USING (article_id) LEFT JOIN reps r USING (k) LEFT JOIN links l ON l.rep = r.rep
+"""

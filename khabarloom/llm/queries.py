@@ -83,6 +83,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": neardup.FOUND_SQL,
         "p1_fingerprint_pairs": gph.PAIRS_SQL,
+        "p1_groups": neardup.GROUPS_SQL,
         "p2_found": batches.FOUND_SQL,
         "p4_found": sitelines.FOUND_SQL,
+        "p8_found": leaks.FOUND_SQL,
+        "p10_found": looks.FOUND_SQL,
     }
