@@ -1,9 +1,9 @@
 """Problem 2: new batches against everything accepted so far.
 
 ``Ledger`` keeps, in a folder all executors reach, an inverted index of rare-run prefixes and the
-accepted address keys. A batch is probed against it without breaking the history into runs again;
-only the texts of candidate pairs are, to verify them. Postings are bucketed by run, so a probe
-shuffles the batch and never the history.
+accepted run sets and address keys. A batch is probed against them: no accepted text is read
+again, and run sets only in the ranges of ids that hold candidates. Postings and keys are bucketed,
+so a probe shuffles the batch and never the history.
 """
 
 from __future__ import annotations
@@ -22,38 +22,80 @@ from khabarloom.runtime import cut, shared_dir
 DISTANCE = 8
 
 
+#: Ids per range of the stored run sets.
+RANGE = 1 << 20
+_SETS = "id bigint, simhash bigint, hi bigint, lo bigint, n int, runs array<bigint>, span bigint"
+
+
 def _close(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
 
 
+def _one_per_class(sets: DataFrame) -> DataFrame:
+    """The row of smallest id per (run set, fingerprint). Only ids of copies are moved, never run sets, where copies are few."""
+    key = ["hi", "lo", "simhash"]
+    several = sets.groupBy(*key).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    copies = sets.select("id", *key).join(several, key).filter("id != first").select("id")
+    return sets.join(copies, "id", "left_anti")
+
+
+def _overlapping(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """The distinct rows of ``pairs`` (a, b, old) whose run sets overlap by 0.5: a is in ``left``, b in ``right``."""
+    both = pairs.join(left.select(F.col("id").alias("a"), F.col("runs").alias("ra")), "a").join(right.select(F.col("id").alias("b"), F.col("runs").alias("rb")), "b")
+    shared = F.size(F.array_intersect("ra", "rb"))
+    return both.filter(3 * shared >= F.size("ra") + F.size("rb")).select("a", "b", "old").distinct()
+
+
 class Ledger:
-    """What was accepted so far: postings, address keys and texts.
+    """What was accepted so far, as three tables that only grow.
+
+    * postings, bucketed by run: the probed runs of one text per (run set, fingerprint);
+    * run sets, partitioned by ranges of ``id``: a verification reads the ranges it has candidates in;
+    * address keys, bucketed by key.
 
-    ``history`` and batches have ``id`` (unique over both), ``order`` (comparable, ascending in
-    time), ``url_hash``, ``simhash`` and ``text``. A NULL ``url_hash`` matches nothing, a NULL or 0
-    ``simhash`` and a text without tokens are near nothing. Rows of one id are one row. Further
-    columns are ignored.
+    ``history`` and batches have ``id`` (a bigint, unique over both, rising with arrival), ``order``
+    (comparable, ascending in time), ``url_hash``, ``simhash`` and ``text``. A NULL ``url_hash``
+    matches nothing, a NULL or 0 ``simhash`` and a text without tokens are near nothing. Rows of one
+    id are one row. Further columns are ignored.
     """
 
-    def __init__(self, history: DataFrame, buckets: int = 24) -> None:
-        self.spark, self.buckets = history.sparkSession, buckets
+    def __init__(self, history: DataFrame, buckets: int = 24, span: int = RANGE) -> None:
+        self.spark, self.buckets, self.span = history.sparkSession, buckets, span
         self.name = f"ledger_{uuid.uuid4().hex}"
         self.path = f"{shared_dir(self.spark)}/{self.name}"
-        self.texts = [history.select("id", "text")]
-        self.urls = [history.select("url_hash")]
+        self.appended = 0
         self.levels: np.ndarray = runjoin.frequency_levels(history, "text")
-        self._append(self._sets(history))
+        self._append(history)
 
     def _sets(self, rows: DataFrame) -> DataFrame:
-        """Prefixes of the rows whose fingerprint and text can have a near-duplicate."""
+        """Run sets of the rows whose fingerprint and text can have a near-duplicate."""
         usable = rows.filter(F.coalesce("simhash", F.lit(0)) != 0)
-        return runjoin.ordered_sets(usable, "id", "text", self.levels, keep=["simhash"])
+        return runjoin.ordered_sets(usable, "id", "text", self.levels, keep=["simhash"], whole=True)
 
-    def _append(self, sets: DataFrame) -> None:
-        """Add the postings of one text per (run set, fingerprint)."""
-        reps = sets.groupBy("hi", "lo", "simhash", "n").agg(F.min("id").alias("id"), F.first("runs").alias("runs"))
-        post = runjoin.postings(reps, "id", "simhash").repartition(self.buckets, "run")
-        post.write.mode("append").format("parquet").option("compression", "zstd").option("path", self.path).bucketBy(self.buckets, "run").sortBy("run").saveAsTable(self.name)
+    def _range(self) -> Column:
+        return F.floor(F.col("id") / self.span)
+
+    def _grow(self, rows: DataFrame, table: str, column: str) -> None:
+        out = rows.repartition(self.buckets, column).write.mode("append").format("parquet").option("compression", "zstd").option("path", f"{self.path}/{table}")
+        out.bucketBy(self.buckets, column).sortBy(column).saveAsTable(f"{self.name}_{table}")
+
+    def _append(self, rows: DataFrame) -> None:
+        """Add accepted rows to the three tables; their texts are broken into runs once."""
+        at = f"{self.path}/sets/batch={self.appended}"
+        self._sets(rows).withColumn("span", self._range()).write.option("compression", "zstd").partitionBy("span").parquet(at)
+        self.appended += 1
+        own = self.spark.read.schema(_SETS).parquet(at)
+        self._grow(runjoin.postings(_one_per_class(own), "id", "simhash"), "postings", "run")
+        self._grow(rows.filter("url_hash is not null").select("url_hash").distinct(), "urls", "url_hash")
+
+    def _stored_sets(self, ids: DataFrame) -> DataFrame:
+        """(id, runs) of accepted texts; only ranges of ``ids`` (column id) are read.
+
+        The list of ranges is bounded by the history's length over ``span``.
+        """
+        spans = [r[0] for r in ids.select(self._range().alias("s")).distinct().collect()]
+        stored = self.spark.read.schema(f"{_SETS}, batch int").parquet(f"{self.path}/sets")
+        return stored.filter(F.col("span").isin(spans)).join(ids, "id", "left_semi").select("id", "runs")
 
     def _candidates(self, probes: DataFrame, index: DataFrame) -> DataFrame:
         """(a, b): a text of ``probes`` and one of ``index`` that may overlap by 0.5."""
@@ -77,22 +119,18 @@ class Ledger:
         an overlap of 0.5 or more.
         """
         sets = cut(self._sets(batch), "batch-sets")
-        classes = sets.groupBy("hi", "lo", "simhash", "n").agg(F.min("id").alias("cls"), F.first("runs").alias("runs"))
-        member = sets.select("id", "hi", "lo", "simhash").join(classes.select("hi", "lo", "simhash", "cls"), ["hi", "lo", "simhash"]).select("id", "cls")
-        probes = runjoin.postings(classes.withColumnRenamed("cls", "id"), "id", "simhash")
-        old = self._candidates(probes, self.spark.table(self.name)).withColumn("old", F.lit(True))
+        groups = sets.groupBy("hi", "lo", "simhash").agg(F.min("id").alias("cls"))
+        member = sets.select("id", "hi", "lo", "simhash").distinct().join(groups, ["hi", "lo", "simhash"]).select("id", "cls")
+        probes = runjoin.postings(_one_per_class(sets), "id", "simhash")
+        old = self._candidates(probes, self.spark.table(f"{self.name}_postings")).withColumn("old", F.lit(True))
         new = self._candidates(probes, probes).filter("a < b").withColumn("old", F.lit(False))
-        candidates = cut(old.unionByName(new), "batch-candidates")
-        texts = batch.select("id", "text")
-        for t in self.texts:
-            texts = texts.unionByName(t)
-        near = runjoin.overlap_pairs(candidates, texts, "id", "text").filter(2 * F.col("shared") >= F.col("total"))
-        near = cut(near.select("a", "b", "old").distinct(), "batch-near")
-
-        urls = self.urls[0]
-        for u in self.urls[1:]:
-            urls = urls.unionByName(u)
-        seen = batch.select("id", "url_hash").join(urls.filter("url_hash is not null").distinct(), "url_hash", "left_semi").select("id")
+        pairs = cut(old.unionByName(new), "batch-candidates")
+        own = sets.select("id", "runs")
+        there = self._stored_sets(pairs.filter("old").select(F.col("b").alias("id")).distinct()).unionByName(own.join(pairs.filter("not old").select(F.col("b").alias("id")).distinct(), "id", "left_semi"))
+        near = cut(_overlapping(pairs, own, there), "batch-near")
+
+        urls = self.spark.table(f"{self.name}_urls")
+        seen = batch.select("id", "url_hash").join(urls, "url_hash", "left_semi").select("id")
         like = member.join(near.filter("old").select(F.col("a").alias("cls")).distinct(), "cls", "left_semi").select("id")
         blocked = seen.unionByName(like).distinct().withColumn("blocked", F.lit(True))
         nodes = batch.select("id", "order", "url_hash").join(member, "id", "left").join(blocked, "id", "left")
@@ -135,9 +173,7 @@ class Ledger:
         """Decide a batch, then append its accepted rows to the index; returns the decisions."""
         verdict = cut(self.decide(batch), "batch-verdict")
         taken = batch.join(verdict.filter("accepted"), "id", "left_semi")
-        self._append(self._sets(taken))
-        self.texts.append(taken.select("id", "text"))
-        self.urls.append(taken.select("url_hash"))
+        self._append(taken)
         return verdict
 
 
