@@ -24,6 +24,8 @@ DISTANCE = 8
 
 #: Ids per range of the stored run sets.
 RANGE = 1 << 20
+#: Columns in which texts of one class agree: run set and fingerprint.
+_CLASS = ["hi", "lo", "simhash"]
 _SETS = "id bigint, simhash bigint, hi bigint, lo bigint, n int, runs array<bigint>, span bigint"
 
 
@@ -31,14 +33,6 @@ def _close(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
 
 
-def _one_per_class(sets: DataFrame) -> DataFrame:
-    """The row of smallest id per (run set, fingerprint). Only ids of copies are moved, never run sets, where copies are few."""
-    key = ["hi", "lo", "simhash"]
-    several = sets.groupBy(*key).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    copies = sets.select("id", *key).join(several, key).filter("id != first").select("id")
-    return sets.join(copies, "id", "left_anti")
-
-
 def _overlapping(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """The distinct rows of ``pairs`` (a, b, old) whose run sets overlap by 0.5: a is in ``left``, b in ``right``."""
     both = pairs.join(left.select(F.col("id").alias("a"), F.col("runs").alias("ra")), "a").join(right.select(F.col("id").alias("b"), F.col("runs").alias("rb")), "b")
@@ -85,7 +79,7 @@ class Ledger:
         self._sets(rows).withColumn("span", self._range()).write.option("compression", "zstd").partitionBy("span").parquet(at)
         self.appended += 1
         own = self.spark.read.schema(_SETS).parquet(at)
-        self._grow(runjoin.postings(_one_per_class(own), "id", "simhash"), "postings", "run")
+        self._grow(runjoin.postings(runjoin.one_per_class(own, "id", _CLASS), "id", "simhash"), "postings", "run")
         self._grow(rows.filter("url_hash is not null").select("url_hash").distinct(), "urls", "url_hash")
 
     def _stored_sets(self, ids: DataFrame) -> DataFrame:
@@ -121,7 +115,7 @@ class Ledger:
         sets = cut(self._sets(batch), "batch-sets")
         groups = sets.groupBy("hi", "lo", "simhash").agg(F.min("id").alias("cls"))
         member = sets.select("id", "hi", "lo", "simhash").distinct().join(groups, ["hi", "lo", "simhash"]).select("id", "cls")
-        probes = runjoin.postings(_one_per_class(sets), "id", "simhash")
+        probes = runjoin.postings(runjoin.one_per_class(sets, "id", _CLASS), "id", "simhash")
         old = self._candidates(probes, self.spark.table(f"{self.name}_postings")).withColumn("old", F.lit(True))
         new = self._candidates(probes, probes).filter("a < b").withColumn("old", F.lit(False))
         pairs = cut(old.unionByName(new), "batch-candidates")

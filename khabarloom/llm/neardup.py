@@ -23,8 +23,8 @@ def near_duplicates(records: DataFrame, key: str = "article_id", text: str = "te
     sets = cut(runjoin.ordered_sets(src, key, "_text", levels), "neardup-sets")
     classes = sets.groupBy("hi", "lo").agg(F.min(key).alias("rep"))
     members = sets.select(key, "hi", "lo").distinct().join(classes, ["hi", "lo"]).select(key, "rep")
-    reps = sets.groupBy("hi", "lo", "n").agg(F.min(key).alias("id"), F.first("runs").alias("runs"))
-    post = runjoin.postings(reps, "id")
+    reps = runjoin.one_per_class(sets, key, ["hi", "lo"])
+    post = runjoin.postings(reps.withColumnRenamed(key, "id"), "id")
     a, b = post.alias("a"), post.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     met = a.join(b, (F.col("a.run") == F.col("b.run")) & (F.col("a.id") < F.col("b.id")) & runjoin.probed(na, F.col("a.pos"), nb, F.col("b.pos")))

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from khabarloom.functions.runs import run_sets, set_keys
+from khabarloom.runtime import cut
 
 #: log2 of the number of frequency counters; one byte each once they are levels.
 COUNTER_BITS = 21
@@ -79,11 +80,12 @@ def frequency_levels(texts: DataFrame, text: str, width: int = 3) -> np.ndarray:
     return np.minimum(127, 4 * np.log2(1.0 + total)).astype(np.uint8)
 
 
-def ordered_sets(texts: DataFrame, key: str, text: str, levels: np.ndarray, keep: list[str] | None = None, width: int = 3) -> DataFrame:
+def ordered_sets(texts: DataFrame, key: str, text: str, levels: np.ndarray, keep: list[str] | None = None, width: int = 3, whole: bool = False) -> DataFrame:
     """One row per text with at least one run: ``key``, the ``keep`` columns, ``hi``, ``lo``, ``n``, ``runs``.
 
     ``runs`` holds the probed bits: the n // 2 + 1 runs lowest in (level, hash), ascending; that
-    many suffice for an overlap of 0.5 or more. ``hi``, ``lo`` name the run set.
+    many suffice for an overlap of 0.5 or more. If ``whole``, all others follow them in the same
+    order. ``hi``, ``lo`` name the run set.
     """
     keep = keep or []
     shared = texts.sparkSession.sparkContext.broadcast(levels.tobytes())
@@ -99,9 +101,9 @@ def ordered_sets(texts: DataFrame, key: str, text: str, levels: np.ndarray, keep
             order = np.lexsort((rank, owner))
             rank, owner = rank[order], owner[order]
             first = np.cumsum(n) - n
-            rank = rank[np.arange(len(rank)) - first[owner] <= n[owner] // 2]
             some = n > 0
-            held = np.where(some, n // 2 + 1, 0)
+            held = n if whole else np.where(some, n // 2 + 1, 0)
+            rank = rank[np.arange(len(rank)) - first[owner] < held[owner]]
             ends = np.concatenate([[0], np.cumsum(held[some])]).astype(np.int32)
             chosen = pa.array(some)
             cols = [c.filter(chosen) for c in b.columns[:-1]]
@@ -115,9 +117,20 @@ def ordered_sets(texts: DataFrame, key: str, text: str, levels: np.ndarray, keep
     return src.mapInArrow(rows, f"{head}, hi bigint, lo bigint, n int, runs array<bigint>")
 
 
+def one_per_class(sets: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The rows of smallest ``key`` per class, a class being equal ``columns``.
+
+    The keys of all other copies are written first: where they are few, the join that drops them is
+    planned as a broadcast and no run set is shuffled.
+    """
+    several = sets.groupBy(*columns).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_c")).filter("_c > 1").drop("_c")
+    copies = sets.select(key, *columns).join(several, columns).filter(F.col(key) != F.col("_first")).select(key)
+    return sets.join(cut(copies, "copies"), key, "left_anti")
+
+
 def postings(sets: DataFrame, *columns: str) -> DataFrame:
     """One row per probed bit: ``run``, ``pos`` (its place in the text's order), ``n`` and ``columns``."""
-    return sets.select(*columns, "n", F.posexplode("runs").alias("pos", "run"))
+    return sets.select(*columns, "n", F.posexplode(F.slice("runs", F.lit(1), F.floor(F.col("n") / 2).cast("int") + 1)).alias("pos", "run"))
 
 
 def _third(n: Column) -> Column:
