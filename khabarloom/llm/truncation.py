@@ -52,6 +52,8 @@ def _line_key(line: str) -> int:
 
 
 def _prose(line: str) -> bool:
+    """Whether a line reads like running text; its number or bullet does not count."""
+    line = _BULLET.sub("", line)
     return bool(_INNER_MARK.search(line)) or len(line.split()) >= 14
 
 

@@ -173,6 +173,7 @@ def pages(rng, n):
         if i % 2:
             add("Most read", True)
             add(f"• Council {x} opens library near river town", True)
+            add(f"1. Harlam {x} defends early temple in Tansor", True)
             add(f"Minister {x} defends costly plan for new stadium", True)
         add(STORY[(i + 1) % 3].format(f"m{x}"), False)
         add(f"2. The {x} committee said nothing about the cost.", False)
@@ -374,6 +375,8 @@ def test_truncation(spark):
             want |= {(i, "summary")} if body[:120].rstrip()[-1] != "." and body[120] != "." else set()
         elif kind == 4:
             summary = body.split(".")[0]  # whole, without its mark
+        elif kind == 5:
+            body += f"\nMost read\n3. {title}"  # a whole headline, numbered
         data.append(article(i, body=body, title=title, summary=summary, source=f"s{i % 3}"))
     data += [article(900, body=None, summary=None), article(901, body="", summary=" \n"), article(902, body="x" * 200_000, source=None), article(903, title=None, summary="…")]
     df = spark.createDataFrame(data, ARTICLE)
