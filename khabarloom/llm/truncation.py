@@ -31,7 +31,7 @@ PILE, PILE_TIMES, PILE_NEAR = 4, 6.0, 30
 #: Lengths below this are no limits: headlines pile up there by themselves.
 LEAST_LIMIT = 80
 
-_MARK = re.compile(r"[।.?!][”’\"')\]]*$|\)$")
+_MARK = re.compile(r"[।.?!][”’\"')\]]*$|\)$|\d ?°[CF]?$")
 _INNER_MARK = re.compile(r"[।?!][”’\"']?\s+\S|[a-z\d)”’\"'][.][”’\"']?\s+[A-Z\"“‘]")
 _DOTS = re.compile(r"\s*(?:…|\.\.\.|[\[(](?:…|\.\.\.)[\])]|&hellip;|&#8230;)\s*$")
 _BROKEN = re.compile(r"�\s*$|&#?[a-zA-Z0-9]{0,8}$|<[^<>]{0,200}$")
