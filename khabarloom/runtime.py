@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: set[str] = set()
+_written: list[str] = []
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-JVM session with the settings the operators rely on (UTC, AQE)."""
     return (
@@ -38,9 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("a cluster session needs spark.checkpoint.dir: a folder all executors share")
     own = os.path.join(tempfile.gettempdir(), f"khabarloom-{os.getpid()}")
+    if own not in _own:
+        _own.add(own)
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
     return f"file://{own}"
 
 
@@ -53,4 +63,18 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table ``cut`` has written so far; returns how many.
+
+    For long sessions, once the results that read them are written or collected.
+    """
+    n = 0
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return n

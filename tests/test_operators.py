@@ -154,3 +154,22 @@ def test_neighbours_with_blocks(spark):
         s[q] = -9
         assert [got[q][k] for k in (1, 2, 3)] == list(np.argsort(-s)[:3])
     assert 3000 not in got
+
+
+def test_cut_and_release(spark):
+    from khabarloom import runtime
+
+    df = spark.createDataFrame([(1, "a", None)], "x int, `y z` string, w array<int>")
+    assert rows(runtime.cut(df, "t")) == [(1, "a", None)]
+    assert runtime.release(spark) >= 1
+    assert runtime.release(spark) == 0
+    with pytest.raises(ValueError):
+        runtime.shared_dir(_Cluster())
+
+
+class _Cluster:
+    class conf:  # noqa: N801
+        get = staticmethod(lambda name, default: default)
+
+    class sparkContext:  # noqa: N801
+        master = "spark://host:7077"
