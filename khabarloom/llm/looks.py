@@ -27,7 +27,7 @@ from khabarloom.runtime import cut
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХԌԚԜҮаеѕіјорсухһԁԛԝҽӏ", "ABESIJKMHOPCTYXGQWYaesijopcyxhdqwel"))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανιγυκϳϲ", "ABEZHIKMNOPTYXoaviyukjc"))
 ARMENIAN = dict(zip("ՕՍՏԼօսոհցյզ", "OUSLounhgjq"))
-LETTERLIKE = dict(zip("ⅠⅤⅩⅬⅭⅮⅯⅰⅴⅹⅼⅽⅾⅿɑɡıʏɩ", "IVXLCDMivxlcdmagıyı"))
+LETTERLIKE = dict(zip("ⅠⅤⅩⅬⅭⅮⅯⅰⅴⅹⅼⅽⅾⅿɑɡ", "IVXLCDMivxlcdmag"))
 # Characters without a look of their own, line breaks, hyphens.
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠋᠌᠍᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩⁪⁫⁬⁭⁮⁯﻿"
 BREAKS = "\u0085  \u000b\u000c"
@@ -42,7 +42,7 @@ _FROM_LATIN = {s: {x: c for c, x in m.items()} for s, m in _SCRIPTS.items()}
 def _plain_fold() -> dict[int, str | None]:
     fold: dict[int, str | None] = {ord(c): None for c in INVISIBLE}
     fold |= {c: None for c in [*range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)]}
-    fold |= {ord(c): x for c, x in LETTERLIKE.items() if c != x}
+    fold |= {ord(c): x for c, x in LETTERLIKE.items()}
     fold |= {ord(c): "\n" for c in BREAKS} | {ord(c): "-" for c in HYPHENS}
     for c in map(chr, [*range(0xA0, 0x3400), *range(0xF900, 0x10000)]):
         tag, _, parts = unicodedata.decomposition(c).partition(" ")
