@@ -110,7 +110,7 @@ def winning_paths(pages: DataFrame, host: str = "host", body: str = "body") -> D
     before they are shuffled; a host's list is bounded by its lines per page over the least share.
     """
     votes = page_paths(pages, host, body).groupBy("host", "path", "page").agg(F.max("opens").alias("opens"))
-    by_host = cut(votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("opens").alias("opens"), F.count("opens").alias("led")).filter("n > 1 or length(path) < 60"), "path-votes")
+    by_host = cut(votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("opens").alias("opens"), F.count("opens").alias("led")), "path-votes")
     totals = pages.select(F.col(host).alias("host"), F.xxhash64(body).alias("page")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
     anywhere = by_host.groupBy("path").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("hosts"), F.sum("opens").alias("all_opens"), F.sum("led").alias("all_led"))
     anywhere = anywhere.filter((F.col("all_n") >= 2) & ((F.col("hosts") >= LEAST_HOSTS) & (F.col("all_n") >= LEAST_ANYWHERE) | (F.col("all_n") >= LEAST_PAGES)))

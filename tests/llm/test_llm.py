@@ -203,6 +203,14 @@ def test_copies_are_not_furniture(spark):
     assert maintext.furniture_lines(df, maintext.winning_paths(df), ["rec", "rec_id"]).count() == 0
 
 
+def test_notice_once_on_each_of_many_hosts(spark):
+    notice = "This story was supplied by our partner agencies and has been edited for length and for style"
+    assert 60 <= len(notice) <= 160
+    data = [("e", i, f"h{i}", f"The council of town {'abcdefghijkl'[i]} met. It agreed to fund the road.\n{notice}") for i in range(12)]
+    df = spark.createDataFrame(data, "rec string, rec_id bigint, host string, body string")
+    assert rows(maintext.furniture_lines(df, maintext.winning_paths(df), ["rec", "rec_id"])) == sorted([("e", i, 1) for i in range(12)], key=repr)
+
+
 EN = "the council agreed to fund a new road through valley and officials said that work will begin before winter with help from local traders in town".split()
 HI = "परिषद ने कहा कि नई सड़क का काम शुरू हुआ है और अधिकारियों को उम्मीद है कि यह जल्द पूरा होगा के लिए में से पर".split()
 NE = "परिषद्ले नयाँ सडकको काम सुरु गरेको छ भन्दै अधिकारीले चाँडै पूरा हुने अपेक्षा गरेका छन् तर स्थानीय बासिन्दाले विरोध गरे".split()
