@@ -4,8 +4,8 @@ Pages are texts of one block per line. Each block has a path: its generalised fo
 alike, single spaces) or, if it reads like running text, its text. Every distinct page of a host
 votes for the paths it has; a path that recurs over a host's pages, or over many hosts, is page
 furniture there, as a story is told once. Copies of a page vote as one. Furniture that pages follow
-with headlines opens a list of teasers. The pages are then read again with their host's winning
-paths: furniture goes, and so do teaser lists, breadcrumbs, menus and other blocks whose shape no
+with headlines opens a list of teasers. Each block is then joined with its host's winning paths:
+furniture goes, and so do teaser lists, breadcrumbs, menus and other blocks whose shape no
 story has; headings, numbered points, quotes and bylines stay.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from khabarloom.runtime import cut
@@ -24,11 +24,11 @@ from khabarloom.runtime import cut
 #: A path is furniture of a host from this many distinct pages and this share of them; of all hosts, from these counts.
 LEAST_PAGES, LEAST_SHARE = 5, 0.004
 LEAST_HOSTS, LEAST_ANYWHERE = 3, 10
-#: A path that many hosts have still needs this share of a host's pages, which bounds a host's list.
-WIDE_SHARE = 0.0005
 #: Furniture opens a list of teasers if what follows it is a headline this often.
 OPENS = 0.5
 _LONGEST_FORM = 160
+#: The last line of a page is a cut furniture line if a path begins with it and it has this many characters.
+_LEAST_END = 12
 
 # Words of bylines and bureau lines, which belong to the story.
 BYLINE = re.compile(r"^(by |— ?|- ?|– ?)?.{0,60}(संवाददाता|ब्युरो|ब्यूरो|bureau|reporter|correspondent)$|^by \S+( \S+){0,3}$")
@@ -78,6 +78,10 @@ def _blocks(body: str) -> list[tuple[int, str]]:
     return [(i, x) for i, x in enumerate(body.split("\n")) if x.strip()]
 
 
+def _page(body: str) -> int:
+    return xxhash.xxh64_intdigest(body.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def page_paths(pages: DataFrame, host: str, body: str) -> DataFrame:
     """(host, path, page, opens): once per page and path; ``page`` names the body, ``opens`` 1 if a headline follows, NULL if nothing does."""
 
@@ -87,7 +91,7 @@ def page_paths(pages: DataFrame, host: str, body: str) -> DataFrame:
             for h, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not text:
                     continue
-                key = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+                key = _page(text)
                 blocks = _blocks(text)
                 seen: dict[str, int | None] = {}
                 for (_, line), (_, after) in zip(blocks, [*blocks[1:], (0, "")]):
@@ -104,10 +108,10 @@ def page_paths(pages: DataFrame, host: str, body: str) -> DataFrame:
 
 
 def winning_paths(pages: DataFrame, host: str = "host", body: str = "body") -> DataFrame:
-    """(host, furniture, openers): per host the paths that are page furniture, and those that open teaser lists.
+    """(host, path, opener): the paths that are page furniture on each host, and whether they open teaser lists.
 
     Votes are summed in two steps, over (host, path, page) and then (host, path), both combined
-    before they are shuffled; a host's list is bounded by its lines per page over the least share.
+    before they are shuffled.
     """
     votes = page_paths(pages, host, body).groupBy("host", "path", "page").agg(F.max("opens").alias("opens"))
     by_host = cut(votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("opens").alias("opens"), F.count("opens").alias("led")), "path-votes")
@@ -117,81 +121,76 @@ def winning_paths(pages: DataFrame, host: str = "host", body: str = "body") -> D
     both = by_host.drop("opens", "led").join(anywhere, "path").join(totals.withColumnRenamed("host", "_h"), F.col("host").eqNullSafe(F.col("_h")))
     here = (F.col("n") >= LEAST_PAGES) & (F.col("n") >= LEAST_SHARE * F.col("total"))
     wide = (F.col("hosts") >= LEAST_HOSTS) & (F.col("all_n") >= LEAST_ANYWHERE)
-    wide = wide & (F.col("n") >= WIDE_SHARE * F.col("total"))
     won = both.filter((here | wide) & ~F.col("path").rlike(BYLINE.pattern))
     opener = (F.col("all_opens") >= OPENS * F.col("all_led")) & (F.size(F.split("path", " ")) <= 6)
-    return won.groupBy("host").agg(F.collect_list("path").alias("furniture"), F.collect_list(F.when(opener, F.col("path"))).alias("openers"))
-
-
-class HostPaths:
-    """A host's winning paths, ready to mark pages with."""
-
-    def __init__(self, furniture: list[str], openers: list[str]) -> None:
-        self.furniture, self.openers = frozenset(furniture), frozenset(openers)
-        self.long = sorted(f for f in furniture if len(f) >= 12)
-
-    def _cut_furniture(self, form: str) -> bool:
-        """Whether the form is the beginning of a furniture line, as the last line of a cut text may be."""
-        from bisect import bisect_left
-
-        at = bisect_left(self.long, form)
-        return len(form) >= 12 and at < len(self.long) and self.long[at].startswith(form)
-
-    def furniture_lines(self, body: str) -> list[int]:
-        """Line numbers of the blocks that are not the story."""
-        out: list[int] = []
-        blocks = _blocks(body)
-        teasers = False
-        for k, (i, line) in enumerate(blocks):
-            form = form_of(line)
-            path = _path(form)
-            after = blocks[k + 1][1] if k + 1 < len(blocks) else ""
-            if path in self.furniture:
-                teasers = path in self.openers
-                out.append(i)
-                continue
-            if BYLINE.match(form):
-                teasers = False
-                continue
-            if _is_furniture_shape(line) or (k == len(blocks) - 1 and self._cut_furniture(form)):
-                out.append(i)
-                continue
-            words = len(_BULLET.sub("", line.strip()).split())
-            listed = bool(_BULLET.match(line))
-            if _is_prose(line):
-                teasers = False
-            elif listed and (words >= 4 or teasers):
-                out.append(i)
-            elif teasers and not (words <= 3 and _is_prose(after)):
-                out.append(i)
-            else:
-                teasers = False
-        return out
+    return won.select("host", "path", F.coalesce(opener, F.lit(False)).alias("opener"))
 
 
-def furniture_lines(pages: DataFrame, paths: DataFrame, keys: list[str], host: str = "host", body: str = "body") -> DataFrame:
-    """(keys, line_no): the lines of each page that are not its story; NULL and empty bodies have none."""
+def _role(line: str, form: str, after: str) -> str:
+    """What a block that is no furniture by its path is, by its shape and the next block.
+
+    b: ends a list of teasers; s: never of a story; l: a list entry that stands alone; t: of a teaser list where one is open.
+    """
+    if BYLINE.match(form):
+        return "b"
+    if _is_furniture_shape(line):
+        return "s"
+    if _is_prose(line):
+        return "b"
+    words = len(_BULLET.sub("", line.strip()).split())
+    if _BULLET.match(line):
+        return "l" if words >= 4 else "t"
+    return "b" if words <= 3 and _is_prose(after) else "t"
+
+
+def page_blocks(pages: DataFrame, keys: list[str], host: str, body: str) -> DataFrame:
+    """(keys, _host, _page, line_no, _path, _role, _end): every block; ``_page`` names the body, ``_end`` is the form of a page's last block if it may be a cut line."""
     src = pages.filter(F.coalesce(F.col(body), F.lit("")) != "").select(*keys, F.col(host).alias("_host"), F.col(body).alias("_body"))
-    src = src.join(paths.withColumnRenamed("host", "_h"), F.col("_host").eqNullSafe(F.col("_h")), "left").select(*keys, "_host", "furniture", "openers", "_body")
-    k = len(keys)
+    k = len(keys) + 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, HostPaths] = {}
         for b in batches:
-            place, lines = [], []
-            hosts, bodies = b.column(k).to_pylist(), b.column(k + 3).to_pylist()
-            for r, (h, text) in enumerate(zip(hosts, bodies)):
-                if h not in known:
-                    if len(known) > 5_000:
-                        known.clear()
-                    known[h] = HostPaths(b.column(k + 1)[r].as_py() or [], b.column(k + 2)[r].as_py() or [])
-                got = known[h].furniture_lines(text)
-                place += [r] * len(got)
-                lines += got
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(place, pa.int32())) for i in range(k)), pa.array(lines, pa.int32())], names=[*keys, "line_no"])
+            place, names, lines, paths, roles, ends = [], [], [], [], [], []
+            for r, text in enumerate(b.column(k).to_pylist()):
+                blocks = _blocks(text)
+                names += [_page(text)] * len(blocks)
+                for (i, line), (_, after) in zip(blocks, [*blocks[1:], (0, "")]):
+                    form = form_of(line)
+                    place.append(r)
+                    lines.append(i)
+                    paths.append(_path(form))
+                    roles.append(_role(line, form, after))
+                    ends.append(None)
+                if blocks and _LEAST_END <= len(form) <= _LONGEST_FORM and not BYLINE.match(form):
+                    ends[-1] = form
+            cols = [*(c.take(pa.array(place, pa.int32())) for c in b.columns[:k]), pa.array(names, pa.int64()), pa.array(lines, pa.int32()), pa.array(paths, pa.string()), pa.array(roles, pa.string()), pa.array(ends, pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*keys, "_host", "_page", "line_no", "_path", "_role", "_end"])
 
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:k])
-    return src.mapInArrow(rows, f"{head}, line_no int")
+    return src.mapInArrow(rows, f"{head}, _page bigint, line_no int, _path string, _role string, _end string")
+
+
+def furniture_lines(pages: DataFrame, paths: DataFrame, keys: list[str], host: str = "host", body: str = "body") -> DataFrame:
+    """(keys, line_no): the lines of each page that are not its story; NULL and empty bodies have none.
+
+    Each block is joined with its host's winning path, and the last of a page, which may be the
+    beginning of a cut line, with the paths that begin like it. A list of teasers is open at a block
+    if the last block before it that opens or ends one opens it. ``keys`` name a page.
+    """
+    won = paths.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "opener")
+    same = F.col("_host").eqNullSafe(F.col("_h"))
+    blocks = cut(page_blocks(pages, keys, host, body), "page-blocks")
+    ends, rest = blocks.filter(F.col("_end").isNotNull()), blocks.filter(F.col("_end").isNull())
+    start = F.substring("_end", 1, _LEAST_END) == F.substring("_p", 1, _LEAST_END)
+    begun = ends.select("_host", "_end").distinct().join(won.filter(F.length("_p") >= _LEAST_END), same & start & F.col("_p").startswith(F.col("_end")), "left_semi")
+    begun = begun.select(F.col("_host").alias("_h"), F.col("_end").alias("_e"), F.lit(True).alias("_cut"))
+    ends = ends.join(begun, same & (F.col("_end") == F.col("_e")), "left").drop("_h", "_e")
+    blocks = ends.unionByName(rest.withColumn("_cut", F.lit(None).cast("boolean"))).drop("_end").join(won, same & (F.col("_path") == F.col("_p")), "left")
+    sets = F.when(F.col("opener").isNotNull(), F.col("opener")).when(F.col("_role") == "b", F.lit(False))
+    before = Window.partitionBy(*keys, "_page").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.coalesce(F.last(sets, ignorenulls=True).over(before), F.lit(False))
+    gone = F.col("opener").isNotNull() | F.col("_cut").isNotNull() | F.col("_role").isin("s", "l") | ((F.col("_role") == "t") & F.col("_open"))
+    return blocks.withColumn("_open", opened).filter(gone).select(*keys, "line_no")
 
 
 def main_text(pages: DataFrame, marked: DataFrame, keys: list[str], body: str = "body") -> DataFrame:

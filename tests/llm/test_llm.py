@@ -211,6 +211,17 @@ def test_notice_once_on_each_of_many_hosts(spark):
     assert rows(maintext.furniture_lines(df, maintext.winning_paths(df), ["rec", "rec_id"])) == sorted([("e", i, 1) for i in range(12)], key=repr)
 
 
+def test_furniture_of_many_hosts_on_a_large_one(spark):
+    notice = "Words and pictures are ours"
+    told = lambda x: f"The council of town {x} met. It agreed to fund the road."
+    data = [("e", i, f"h{i}", f"{told(i * '.' + 'a')}\n{notice}\n") for i in range(12)]
+    data += [("e", 100 + i, "large", "A council met. It agreed on " + " ".join(f"{'abcdefghij'[int(c)]}x" for c in str(i)) + ".") for i in range(2_100)]
+    data += [("e", 5_000, "large", f"{told('z')}\n{notice}"), ("e", 5_001, "large", f"{told('y')}\n{notice[:20]}")]
+    df = spark.createDataFrame(data, "rec string, rec_id bigint, host string, body string")
+    marked = rows(maintext.furniture_lines(df, maintext.winning_paths(df), ["rec", "rec_id"]))
+    assert marked == sorted([("e", i, 1) for i in [*range(12), 5_000, 5_001]], key=repr)
+
+
 EN = "the council agreed to fund a new road through valley and officials said that work will begin before winter with help from local traders in town".split()
 HI = "परिषद ने कहा कि नई सड़क का काम शुरू हुआ है और अधिकारियों को उम्मीद है कि यह जल्द पूरा होगा के लिए में से पर".split()
 NE = "परिषद्ले नयाँ सडकको काम सुरु गरेको छ भन्दै अधिकारीले चाँडै पूरा हुने अपेक्षा गरेका छन् तर स्थानीय बासिन्दाले विरोध गरे".split()
