@@ -27,7 +27,7 @@ SCRIPTS = {"en": "l", "hi": "d", "ne": "dl"}
 SAMPLE = 1500
 _FEATURES = 1 << 16
 _ROUNDS = 12
-#: Lines of fewer characters after trimming get no language of their own.
+#: Lines of fewer characters after trimming are not reported by ``found``, do not count for a host, and mix no document that has longer ones.
 LEAST_CHARS = 40
 #: A label is right with this probability, as evidence beside the text; pseudo-counts of the levels above.
 LABEL_TRUST, HOST_WEIGHT = 0.8, 20.0
@@ -81,6 +81,8 @@ class Model:
 
     def score(self, line: str) -> np.ndarray:
         ids, script = features(line)
+        if not ids:
+            return np.zeros(len(LANGS), np.float32)  # no words, no evidence
         return self.weights[script][:, ids].sum(axis=1) * np.float32(_TEMPER) + self.foreign[script]
 
 
@@ -135,32 +137,34 @@ def sample_lines(records: DataFrame, key: str, body: str, lang: str, per_languag
     return lines, {x: n / sum(counts.values()) for x, n in counts.items()}
 
 
-def line_scores(records: DataFrame, key: str, body: str, keep: list[str], model: Model) -> DataFrame:
-    """(key, keep, line_no, chars, ll): the log-likelihoods of every line of at least LEAST_CHARS characters."""
+def line_scores(records: DataFrame, key: str, body: str, instead: str, keep: list[str], model: Model) -> DataFrame:
+    """(key, keep, line_no, chars, ll): the log-likelihoods of every non-blank line.
+
+    A record without such lines has one row from its text ``instead``, with line_no NULL.
+    """
     shared = records.sparkSession.sparkContext.broadcast(model.weights)
-    src = records.select(key, *keep, body)
+    src = records.select(key, *keep, instead, body)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(shared.value)
         for b in batches:
             place, no, chars, ll = [], [], [], []
-            for i, text in enumerate(b.column(b.num_columns - 1).to_pylist()):
-                for k, line in enumerate((text or "").split("\n")):
-                    n = len(line.strip())
-                    if n >= LEAST_CHARS:
-                        place.append(i)
-                        no.append(k)
-                        chars.append(n)
-                        ll.append(m.score(line))
+            for i, (other, text) in enumerate(zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist())):
+                lines = [(k, line) for k, line in enumerate((text or "").split("\n")) if line.strip()]
+                for k, line in lines or [(None, other or "")]:
+                    place.append(i)
+                    no.append(k)
+                    chars.append(len(line.strip()))
+                    ll.append(m.score(line))
             flat = np.concatenate(ll) if ll else np.zeros(0, np.float32)
             ends = np.arange(0, len(flat) + 1, len(LANGS), dtype=np.int32)
-            cols = [c.take(pa.array(place, pa.int32())) for c in b.columns[:-1]]
+            cols = [c.take(pa.array(place, pa.int32())) for c in b.columns[:-2]]
             yield pa.RecordBatch.from_arrays(
                 [*cols, pa.array(no, pa.int32()), pa.array(chars, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.float32()))],
-                names=[*b.schema.names[:-1], "line_no", "chars", "ll"],
+                names=[*b.schema.names[:-2], "line_no", "chars", "ll"],
             )
 
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-2])
     return src.mapInArrow(rows, f"{head}, line_no int, chars int, ll array<float>")
 
 
@@ -169,11 +173,12 @@ def _best(ll: Column) -> Column:
 
 
 def host_priors(scores: DataFrame) -> DataFrame:
-    """(host, prior): per host its languages' log shares over all lines, smoothed to its suffix, that to all.
+    """(host, prior): per host its languages' log shares over its lines of at least LEAST_CHARS characters, smoothed to its suffix, that to all.
 
     Counts are summed per (host, suffix, language) first, so a host of any size is a few rows.
     """
-    n = scores.groupBy("host", "suffix", _best(F.col("ll")).alias("lang")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    counts_for = F.col("line_no").isNotNull() & (F.col("chars") >= LEAST_CHARS)
+    n = scores.groupBy("host", "suffix", _best(F.col("ll")).alias("lang")).agg(F.count(F.when(counts_for, 1)).cast("double").alias("n"))
     wide = n.groupBy("host", "suffix").agg(*(F.coalesce(F.sum(F.when(F.col("lang") == i, F.col("n"))), F.lit(0.0)).alias(f"n{i}") for i in range(len(LANGS))))
     counts = [F.col(f"n{i}") for i in range(len(LANGS))]
     total = sum(counts[1:], counts[0])
@@ -188,15 +193,16 @@ def host_priors(scores: DataFrame) -> DataFrame:
     return both.select("host", "suffix", prior.alias("prior"))
 
 
-def line_languages(records: DataFrame, key: str = "article_id", body: str = "body", lang: str = "lang", host: str = "source_id", url: str = "url") -> DataFrame:
-    """(key, line_no, chars, told, lang, confidence) for every line of at least 40 characters after trimming.
+def line_languages(records: DataFrame, key: str = "article_id", body: str = "body", lang: str = "lang", host: str = "source_id", url: str = "url", title: str = "title", summary: str = "summary") -> DataFrame:
+    """(key, line_no, chars, told, lang, confidence) for every non-blank line.
 
-    ``told`` is the language the label names, NULL if none. NULL and empty bodies have no lines.
+    ``told`` is the language the label names, NULL if none. A record without lines has one row with
+    line_no NULL: the language of its title and summary, label and host.
     """
     model = fit(*sample_lines(records, key, body, lang))
     suffix = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), "^[a-zA-Z]+://[^/?#]*\\.([^./:?#]+)", 1)
-    src = records.select(F.col(key).alias("key"), F.col(host).alias("host"), suffix.alias("suffix"), label_language(F.col(lang)).alias("told"), F.col(body).alias("text"))
-    scores = cut(line_scores(src, "key", "text", ["host", "suffix", "told"], model), "line-scores")
+    src = records.select(F.col(key).alias("key"), F.col(host).alias("host"), suffix.alias("suffix"), label_language(F.col(lang)).alias("told"), F.concat_ws(" ", title, summary).alias("instead"), F.col(body).alias("text"))
+    scores = cut(line_scores(src, "key", "text", "instead", ["host", "suffix", "told"], model), "line-scores")
     priors = host_priors(scores).select(F.col("host").alias("_h"), F.col("suffix").alias("_s"), "prior")
     both = scores.join(priors, F.col("host").eqNullSafe(F.col("_h")) & F.col("suffix").eqNullSafe(F.col("_s")))
     wrong = (1 - LABEL_TRUST) / (len(LANGS) - 1)
@@ -209,13 +215,18 @@ def line_languages(records: DataFrame, key: str = "article_id", body: str = "bod
 
 
 def document_languages(lines: DataFrame, key: str = "article_id") -> DataFrame:
-    """(key, lang, confidence, mixed): the language of most characters, its share of them, and whether others occur."""
-    by = lines.groupBy(key, "lang").agg(F.sum("chars").alias("c"), F.sum(F.col("chars") * F.col("confidence")).alias("w"))
-    top = by.groupBy(key).agg(F.max(F.struct("c", "lang", "w")).alias("top"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("n"))
-    return top.select(key, F.col("top.lang").alias("lang"), (F.col("top.w") / F.col("all")).alias("confidence"), (F.col("n") > 1).alias("mixed"))
+    """(key, lang, confidence, mixed): the language of most characters, its share of them, and whether others occur.
+
+    Lines under LEAST_CHARS characters count for the language; for ``mixed`` only if there are no longer ones.
+    """
+    size, long = F.greatest("chars", F.lit(1)), F.col("chars") >= LEAST_CHARS
+    by = lines.groupBy(key, "lang").agg(F.sum(size).alias("c"), F.sum(size * F.col("confidence")).alias("w"), F.max(long.cast("int")).alias("long"))
+    top = by.groupBy(key).agg(F.max(F.struct("c", "lang", "w")).alias("top"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("n"), F.sum("long").alias("n_long"))
+    mixed = F.when(F.col("n_long") > 0, F.col("n_long") > 1).otherwise(F.col("n") > 1)
+    return top.select(key, F.col("top.lang").alias("lang"), (F.col("top.w") / F.col("all")).alias("confidence"), mixed.alias("mixed"))
 
 
 def found(articles: DataFrame) -> DataFrame:
-    """Lines whose language is not what the article's label says, with their language."""
-    lines = line_languages(articles)
+    """Lines of at least LEAST_CHARS characters whose language is not what the article's label says, with their language."""
+    lines = line_languages(articles).filter(F.col("line_no").isNotNull() & (F.col("chars") >= LEAST_CHARS))
     return lines.filter(~F.col("lang").eqNullSafe(F.col("told"))).select("article_id", "line_no", "lang")

@@ -257,6 +257,22 @@ def test_languages_of_edge_rows(spark):
     assert langid.found(df.limit(0)).count() == 0
 
 
+def test_each_article_and_line_has_a_language(spark):
+    rng = random.Random(3)
+    text = lambda v, n: " ".join(rng.choice(v) for _ in range(n))
+    data = [article(i, body="\n".join(text([EN, HI, NE][i % 3], 14) for _ in range(3)), lang=["en", "hi", "ne"][i % 3], source=f"s{i % 3}") for i in range(90)]
+    data += [article(100, body=None, title=text(HI, 8), summary=text(HI, 20), lang=None, source="new")]  # by title and summary
+    data += [article(101, body="", title="", lang="hi", source="new"), article(102, body=" \n", title="", lang=None, source="s2")]  # by label, by host
+    data += [article(103, body=f"{text(EN, 3)}\n\n{text(EN, 2)}", lang=None, source="new"), article(104, body="12345\n" + text(NE, 14), lang="ne", source="s2")]
+    df = spark.createDataFrame(data, ARTICLE)
+    lines = langid.line_languages(df)
+    assert {tuple(r) for r in lines.filter("article_id >= 100").select("article_id", "line_no", "lang").collect()} == {(100, None, "hi"), (101, None, "hi"), (102, None, "ne"), (103, 0, "en"), (103, 2, "en"), (104, 0, "ne"), (104, 1, "ne")}
+    got = {r.article_id: r for r in langid.document_languages(lines).collect()}
+    assert len(got) == len(data) and all(0 < r.confidence <= 1.0001 and r.mixed is False for r in got.values())
+    assert {i: got[i].lang for i in range(100, 105)} == {100: "hi", 101: "hi", 102: "ne", 103: "en", 104: "ne"}
+    assert not {r[0] for r in rows(langid.found(df))} & {100, 101, 102, 103, 104}
+
+
 def test_leaks_like_brute_force(spark):
     rng = random.Random(3)
     items = [(k, " ".join(words(rng, 45, 200))) for k in range(12)] + [(20, "too short"), (21, None), (22, "")]
