@@ -1,11 +1,13 @@
 """Readings of dates, Viterbi against brute force, and articles held against their items."""
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from itertools import product
+from zoneinfo import ZoneInfo
 
 import pytest
 
 from khabarloom.operators import times
+from khabarloom.plans.queries import queries
 
 from .conftest import SF, rows
 
@@ -110,3 +112,23 @@ def test_tables(spark):
     got = queries()["p3_found"](spark, SF)
     assert dict(got.dtypes) == {"rec": "string", "rec_id": "bigint", "published_s": "bigint"}
     assert got.filter("rec = 'raw_items'").count() > 0
+
+
+def test_clocks_without_a_zone_by_brute_force(spark, tmp_path):
+    zones = {"np": "Asia/Kathmandu", "in": "Asia/Kolkata", "us": "America/New_York", "uk": "Europe/London", "au": "Australia/Sydney"}
+    changes = [datetime(2025, 11, 2, 6), datetime(2026, 3, 8, 7), datetime(2025, 10, 26, 1), datetime(2026, 3, 29, 1), datetime(2026, 4, 4, 16), datetime(2025, 10, 4, 16)]
+    at = [t.replace(tzinfo=UTC) + timedelta(minutes=20 * k) for t in changes for k in range(-9, 10)]
+    log = [(1000 * n + i, s, t) for n, s in enumerate(zones) for i, t in enumerate(at)]
+    spark.createDataFrame(log, "id bigint, source_id string, started_at timestamp").write.parquet(f"{tmp_path}/fetch_log.parquet")
+    spark.createDataFrame([*zones.items()], "source_id string, zone string").write.parquet(f"{tmp_path}/source_zones.parquet")
+    for name in ("bs_months", "zone_names"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF}/{name}.parquet")
+
+    def first(t, zone):
+        """The first instant of the three hours up to t that shows t's clock."""
+        clock = lambda x: x.astimezone(ZoneInfo(zone)).replace(tzinfo=None, fold=0)
+        return int(min(x for x in (t - timedelta(minutes=20 * k) for k in range(10)) if clock(x) == clock(t)).timestamp())
+
+    want = [(i, first(t, zones[s])) for i, s, t in log]
+    assert sum(w != int(t.timestamp()) for (_, w), (_, _, t) in zip(want, log)) == 9  # three clocks go back once
+    assert rows(queries()["f18_iso_dates_all_zones"](spark, str(tmp_path))) == sorted(want, key=repr)
