@@ -162,7 +162,7 @@ def whole_lines(records: DataFrame, body: str) -> DataFrame:
             lines, texts = [], []
             for y in b.column(0).to_pylist():
                 if y:
-                    got = {_line_key(x) for x in y.split("\n") if x.strip() and len(x) < 200}
+                    got = {_line_key(x) for x in y.split("\n") if x.strip()}
                     lines += got
                     texts += [xxhash.xxh64_intdigest(y.encode("utf-8", "surrogatepass")) - (1 << 63)] * len(got)
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.int64()), pa.array(texts, pa.int64())], names=["line_key", "text"])

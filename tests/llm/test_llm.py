@@ -422,6 +422,14 @@ def test_truncation(spark):
     assert truncation.found(df.limit(0)).count() == 0
 
 
+def test_a_long_line_of_many_bodies_is_whole(spark):
+    line = "This report was written by the desk of the agency. It may be printed by partners that name the agency, " + "and it may be shared by readers who keep the text as it is, " * 3 + "under the terms of the agency"
+    assert len(line) >= 200
+    data = [article(i, body=f"The council of town {'abcdefghij'[i]} met on Monday. It agreed to fund the road.\n{line}") for i in range(10)]
+    data += [article(10, body=f"The council met.\n{line[:150]}")]
+    assert rows(truncation.found(spark.createDataFrame(data, ARTICLE))) == [(10, "body")]
+
+
 def test_repeated_and_null_rows(spark):
     data = [article(1, body="a b c d"), article(1, body="a b c d"), article(2, body="a b c d", title=None), article(3, body=None, title=None, summary=None), article(4, body="a " * 100_000)]
     df = spark.createDataFrame(data, ARTICLE)
