@@ -23,6 +23,16 @@ def test_runs(spark, name):
     assert queries()[name](spark, SF).count() >= 0
 
 
+@pytest.mark.parametrize("name", ["t1_stream_insert", "t3_state_stream"])
+def test_streams_take_several_batches(spark, tmp_path, monkeypatch, name):
+    from khabarloom.plans import queries as plans
+
+    monkeypatch.setattr(plans, "shared_dir", lambda _: str(tmp_path))
+    assert queries()[name](spark, SF).count() > 0
+    filled = [b for b in tmp_path.glob("*/out/batch=*") if spark.read.parquet(str(b)).count() > 0]
+    assert len(filled) == 4
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
