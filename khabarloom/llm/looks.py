@@ -1,127 +1,198 @@
 """Problem 10: one form for texts that look the same; problem 8 compares words in this form.
 
-``visual_form`` folds width, composition, ligatures, invisible characters and kinds of space and
-hyphen, then gives every word one script: each letter has the scripts in which something looks
-like it; the intersection over the word is the set of scripts that could have written it. A word
-that only one script can write is spelled in it; one that several could (a whole-script
-confusable) takes the script of the text's unmistakable letters; one that none could keeps its
-letters, each in its Latin look-alike if it has one. Only what is seen decides, so texts that look
-the same get the same form.
+A form folds width, composition, ligatures, invisible characters and kinds of space and hyphen,
+spells Devanagari vowels in one way, and then gives every word one script: each letter belongs to a
+class of letters that look alike, and each class to the scripts that have a letter in it. The
+intersection over a word is the set of scripts that could have written it. A word that only one
+script can write is spelled in it; one that several could (a whole-script confusable) takes the
+script of the text's unmistakable letters; one that none could keeps its letters, each in its
+class's first one. Only what is seen decides, so texts that look the same get the same form.
+
+The classes are those of Unicode's published confusables, as ICU in Spark's JVM has them, over all
+scripts; case and category must agree, so that a letter is never taken for a digit or for its
+capital. Latin letters are told apart as far as Unicode gives them names of their own (accented,
+dotless and long ones differ); only styled forms and small capitals join a class of Latin.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from khabarloom.runtime import cut
 
-# Letters that look alike, as Latin / Cyrillic pairs and Latin / Greek pairs.
-CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХԌԚԜҮаеѕіјорсухһԁԛԝҽӏ", "ABESIJKMHOPCTYXGQWYaesijopcyxhdqwel"))
-GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανιγυκϳϲ", "ABEZHIKMNOPTYXoaviyukjc"))
-ARMENIAN = dict(zip("ՕՍՏԼօսոհցյզ", "OUSLounhgjq"))
-LETTERLIKE = dict(zip("ⅠⅤⅩⅬⅭⅮⅯⅰⅴⅹⅼⅽⅾⅿɑɡ", "IVXLCDMivxlcdmag"))
-# Characters without a look of their own, line breaks, hyphens.
-INVISIBLE = "­͏؜ᅟᅠ឴឵᠋᠌᠍᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩⁪⁫⁬⁭⁮⁯﻿"
+# Sequences that look like one Devanagari vowel letter or sign (the Unicode Standard's list of
+# spellings not to use, and two signs in a row that join into one).
+VOWELS = {
+    "अॆ": "ऄ", "अा": "आ", "र्इ": "ई", "उु": "ऊ", "एॅ": "ऍ", "एॆ": "ऎ", "एे": "ऐ", "अॉ": "ऑ", "आॅ": "ऑ",
+    "अॊ": "ऒ", "आॆ": "ऒ", "अो": "ओ", "आे": "ओ", "अौ": "औ", "आै": "औ", "अॅ": "ॲ", "अऺ": "ॳ", "अऻ": "ॴ", "आऺ": "ॴ",
+    "अॏ": "ॵ", "अॖ": "ॶ", "अॗ": "ॷ", "ाे": "ो", "ाै": "ौ", "ाॅ": "ॉ", "ाॆ": "ॊ", "ाऺ": "ऻ",
+}
+# Line breaks, hyphens, blanks that are drawn as a space or not at all though their category is another.
 BREAKS = "\u0085  \u000b\u000c"
 HYPHENS = "‐‑‒–−﹘﹣－⁃"
+BLANK = "⠀"
+UNSEEN = "͏ᅟᅠ឴឵᠋᠌᠍᠏⁥ㅤﾠ"
+# Format characters that are drawn.
+DRAWN = "؀؁؂؃؄؅۝܏࢐࢑࣢\U000110bd\U000110cd"
+# Letters whose look-alike is another one than the data's prototype, or missing there.
+LETTERS = {"ɑ": "a", "ɡ": "g", "ӏ": "l", "Ԛ": "Q", "ԛ": "q", "Ԝ": "W", "ԝ": "w"}
 
-_SCRIPTS = {"c": CYRILLIC, "g": GREEK, "a": ARMENIAN}
-#: Each letter of another script with a Latin look-alike, and the other way by script.
-_TO_LATIN = {c: x for m in _SCRIPTS.values() for c, x in m.items()}
-_FROM_LATIN = {s: {x: c for c, x in m.items()} for s, m in _SCRIPTS.items()}
+#: Compatibility forms that differ from their plain characters in width, style or joining alone.
+_PLAIN = ("<wide>", "<narrow>", "<font>", "<initial>", "<medial>", "<final>", "<isolated>")
+_DEVANAGARI = range(0x900, 0x980)
+_PIECES = [range(0x80, 0x3400), range(0xA000, 0xAC00), range(0xF900, 0x20000)]
 
 
 def _plain_fold() -> dict[int, str | None]:
-    fold: dict[int, str | None] = {ord(c): None for c in INVISIBLE}
-    fold |= {c: None for c in [*range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)]}
-    fold |= {ord(c): x for c, x in LETTERLIKE.items()}
-    fold |= {ord(c): "\n" for c in BREAKS} | {ord(c): "-" for c in HYPHENS}
-    for c in map(chr, [*range(0xA0, 0x3400), *range(0xF900, 0x10000)]):
-        tag, _, parts = unicodedata.decomposition(c).partition(" ")
-        if unicodedata.category(c) == "Zs":
-            fold[ord(c)] = " "
-        elif tag in ("<wide>", "<narrow>"):
-            fold[ord(c)] = "".join(chr(int(p, 16)) for p in parts.split())
-        elif "LIGATURE" in unicodedata.name(c, "") and tag == "<compat>" and unicodedata.category(c)[0] == "L":
-            fold[ord(c)] = unicodedata.normalize("NFKC", c)
-    fold.pop(ord("\n"), None)
+    fold: dict[int, str | None] = {}
+    for c in range(0x80, sys.maxunicode + 1):
+        if 0x3400 <= c < 0xA000 or 0xAC00 <= c < 0xF900 or 0x20000 <= c < 0xE0000:
+            continue
+        ch = chr(c)
+        kind = unicodedata.category(ch)
+        tag = unicodedata.decomposition(ch).partition(" ")[0]
+        if kind == "Cf" and ch not in DRAWN:
+            fold[c] = None
+        elif kind == "Zs":
+            fold[c] = " "
+        elif tag in _PLAIN or (tag == "<compat>" and (kind == "Nl" or 0x2F00 <= c < 0x2FE0 or (kind[0] == "L" and "LIGATURE" in unicodedata.name(ch, "")))):
+            plain = unicodedata.normalize("NFKC", ch)
+            if " " not in plain:  # a fold never moves the border of a word
+                fold[c] = plain
+    fold |= {c: None for c in [*range(0xFE00, 0xFE10), *range(0xE0000, 0xE0080), *range(0xE0100, 0xE01F0)]} | {ord(c): None for c in UNSEEN}
+    fold |= {ord(c): "\n" for c in BREAKS} | {ord(c): "-" for c in HYPHENS} | {ord(c): " " for c in BLANK}
     return {k: fold.get(ord(v), v) if isinstance(v, str) and len(v) == 1 else v for k, v in fold.items()}
 
 
 _FOLD = _plain_fold()
+#: Stretches of a text between blanks; each is one stretch of its form, or nothing if all of it is unseen.
+STRETCH = re.compile("[^ \t\n\r" + re.escape("".join(chr(c) for c, x in _FOLD.items() if x in (" ", "\n"))) + "]+")
 #: Texts of nothing but these need no folding and hold no look-alikes.
 _UNUSUAL = re.compile("[^\t\n\x20-\x7eऀ-ॗॠ-ॿ‘’“”—…•©°·à-öø-þÀ-ÖØ-Þ]")
-_FOREIGN = re.compile("[Ͱ-ϿЀ-֏ᲀ-᲏ἀ-῿ⷠ-ⷿꙀ-ꚟ]")
-#: Letters of the scripts that get mixed up, with their marks.
-_WORD = re.compile("[A-Za-zªºÀ-ÖØ-öø-ɏ̀-֏ᲀ-᲏Ḁ-῿ⷠ-ⷿꙀ-ꚟ]+")
+#: A character of a script beside Latin and Devanagari, or a Latin form that can belong to a class.
+_FOREIGN = re.compile("[ɐ-ʯͰ-ࣿঀ-᷿ἀ-῿Ⰰ-ⷿꀀ-꣟꤀-꯿\U00010000-\U0001ffff]")
+_VOWEL = re.compile("|".join(sorted(VOWELS, key=len, reverse=True)))
 
 
-def _script(c: str) -> str:
-    o = ord(c)
-    if 0x370 <= o <= 0x3FF or 0x1F00 <= o <= 0x1FFF:
-        return "g"
-    if 0x400 <= o <= 0x52F or 0x1C80 <= o <= 0x1C8F or 0x2DE0 <= o <= 0x2DFF or 0xA640 <= o <= 0xA69F:
-        return "c"
-    return "a" if 0x530 <= o <= 0x58F else "l"
+def _marks() -> str:
+    out, start = [], None
+    for c in range(0x300, 0x20000):
+        mark = unicodedata.category(chr(c))[0] == "M"
+        if mark and start is None:
+            start = c
+        elif not mark and start is not None:
+            out.append(f"{chr(start)}-{chr(c - 1)}")
+            start = None
+    return "".join(out)
 
 
-def _writers(letter: str) -> frozenset[str]:
-    """Scripts in which a letter looks like this one (the letter's base counts; marks are shared)."""
-    base = unicodedata.normalize("NFD", letter)[0]
-    latin = _TO_LATIN.get(base, base if _script(base) == "l" else None)
-    if latin is None:
-        return frozenset(_script(base))
-    return frozenset("l") | {s for s, m in _FROM_LATIN.items() if latin in m}
+#: Letters with their marks; a word never holds a digit or an underscore.
+_WORD = re.compile(f"[^\\W\\d_][^\\W\\d_{_marks()}]*(?:[{_marks()}]+[^\\W\\d_]*)*")
 
 
-_known_writers: dict[str, frozenset[str]] = {}
+def script_of(letter: str) -> str:
+    """The script, as the first word of the letter's name has it; small capitals are one of their own."""
+    name = unicodedata.name(letter, "?")
+    return "SMALL CAPITAL" if "SMALL CAPITAL" in name else name.split()[0]
 
 
-def _writers_of(letter: str) -> frozenset[str]:
-    if letter not in _known_writers:
-        _known_writers[letter] = _writers(letter)
-    return _known_writers[letter]
+def confusable_classes(spark: SparkSession) -> dict[str, str]:
+    """Each letter that looks like one of another script -> the class's first letter.
 
-
-def _spell(word: str, script: str) -> str:
-    latin = "".join(_TO_LATIN.get(c, c) for c in unicodedata.normalize("NFD", word))
-    if script != "l":
-        latin = "".join(_FROM_LATIN[script].get(c, c) for c in latin)
-    return unicodedata.normalize("NFC", latin)
-
-
-def _one_script(text: str) -> str:
-    """Every word in the script that can have written all of it."""
-    words = list(_WORD.finditer(text))
-    could = [frozenset("lcga").intersection(*(_writers_of(c) for c in m[0] if not unicodedata.combining(c))) for m in words]
-    sure: Counter[str] = Counter(next(iter(s)) for s in could if len(s) == 1)
-    out, at = [], 0
-    for m, scripts in zip(words, could):
-        out.append(text[at : m.start()])
-        at = m.end()
-        best = min(scripts, key=lambda s: (-sure[s], "lcga".index(s)), default="l")
-        out.append(_spell(m[0], best))
-    return "".join(out) + text[at:]
-
-
-def visual_form(text: str) -> str:
-    """The one form of all texts that look like this one."""
-    if _UNUSUAL.search(text):
-        text = text.replace("\r\n", "\n").replace("\r", "\n").translate(_FOLD)
-        text = unicodedata.normalize("NFC", text)
-        if _FOREIGN.search(text):
-            text = _one_script(text)
-    if not unicodedata.is_normalized("NFC", text):
-        text = unicodedata.normalize("NFC", text)
-    return text
+    Unicode's data comes from ICU in the driver's JVM, in one call for all letters. The result has
+    a few thousand entries whatever the input: it is bounded by Unicode.
+    """
+    letters = [chr(c) for piece in _PIECES for c in piece if unicodedata.category(chr(c))[0] == "L" and c not in _FOLD and c not in _DEVANAGARI]
+    letters = [*(chr(c) for c in range(0x41, 0x7B) if chr(c).isalpha()), *letters]
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    prototypes = dict(zip(letters, checker.getSkeleton("\n".join(letters)).split("\n")))
+    classes: dict[tuple[str, str], list[str]] = defaultdict(list)
+    for c, p in prototypes.items():
+        if unicodedata.normalize("NFD", c)[0] != c:
+            continue  # accents are marks: the base letter decides
+        named = unicodedata.name(c, "")
+        if named.startswith("LATIN") and not c.isascii() and "SMALL CAPITAL" not in named:
+            continue
+        kind = unicodedata.category(c)
+        if kind not in ("Lu", "Ll"):  # no case: that of the prototype
+            kind = unicodedata.category(p) if len(p) == 1 else "Lo"
+        classes[p, kind].append(c)
+    out: dict[str, str] = {}
+    for members in classes.values():
+        if len({script_of(c) for c in members}) > 1:
+            first = min(members, key=lambda c: (not c.isascii(), script_of(c) != "LATIN", c))
+            out |= dict.fromkeys(members, first)
+    return out | {k: v for k, v in LETTERS.items()} | {v: v for v in LETTERS.values()}
+
+
+class Looks:
+    """Visual forms by a table of classes (``confusable_classes``)."""
+
+    def __init__(self, classes: dict[str, str]) -> None:
+        self.classes = classes
+        self.spelled: dict[str, dict[str, str]] = defaultdict(dict)
+        for c in sorted(classes, key=lambda c: (not c.isascii(), c)):
+            self.spelled[classes[c]].setdefault(script_of(c), c)
+        self._known: dict[str, frozenset[str]] = {}
+
+    def _writers(self, letter: str) -> frozenset[str]:
+        """Scripts with a letter that looks like this one (its base counts; marks are shared)."""
+        got = self._known.get(letter)
+        if got is None:
+            base = unicodedata.normalize("NFD", letter)[0]
+            first = self.classes.get(base)
+            got = self._known[letter] = frozenset(self.spelled[first]) if first else frozenset([script_of(base)])
+        return got
+
+    def _spell(self, word: str, script: str | None) -> str:
+        out = []
+        for c in unicodedata.normalize("NFD", word):
+            first = self.classes.get(c)
+            out.append(c if first is None else self.spelled[first].get(script or "", first))
+        return unicodedata.normalize("NFC", "".join(out))
+
+    def _one_script(self, text: str) -> str:
+        """Every word in the script that can have written all of it."""
+        words = list(_WORD.finditer(text))
+        could = []
+        for m in words:
+            sets = [self._writers(c) for c in set(m[0]) if not unicodedata.category(c).startswith("M")]
+            could.append(frozenset.intersection(*sets) if sets else frozenset())
+        sure: Counter[str] = Counter(next(iter(s)) for s in could if len(s) == 1)
+        out, at = [], 0
+        for m, scripts in zip(words, could):
+            out.append(text[at : m.start()])
+            at = m.end()
+            best = min(scripts, key=lambda s: (-sure[s], s != "LATIN", s), default=None)
+            out.append(self._spell(m[0], best))
+        return "".join(out) + text[at:]
+
+    @staticmethod
+    def unseen(text: str) -> bool:
+        """Whether nothing of the text is drawn."""
+        return not text.translate(_FOLD)
+
+    def form(self, text: str) -> str:
+        """The one form of all texts that look like this one."""
+        if _UNUSUAL.search(text):
+            text = text.replace("\r\n", "\n").replace("\r", "\n").translate(_FOLD)
+            text = unicodedata.normalize("NFC", text)
+            if _FOREIGN.search(text):
+                text = self._one_script(text)
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        if _VOWEL.search(text):
+            text = _VOWEL.sub(lambda m: VOWELS[m[0]], text)
+        return text
 
 
 def _halves(text: str) -> tuple[int, int]:
@@ -131,10 +202,12 @@ def _halves(text: str) -> tuple[int, int]:
 
 def with_forms(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, form), the whole text in its visual form; NULL stays NULL."""
+    shared = texts.sparkSession.sparkContext.broadcast(confusable_classes(texts.sparkSession))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        looks = Looks(shared.value)
         for b in batches:
-            forms = [None if t is None else visual_form(t) for t in b.column(1).to_pylist()]
+            forms = [None if t is None else looks.form(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(forms, pa.string())], names=[key, "form"])
 
     src = texts.select(key, text)
@@ -143,14 +216,16 @@ def with_forms(texts: DataFrame, key: str, text: str) -> DataFrame:
 
 def form_keys(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, f1, f2, t1, t2): 128-bit keys of the visual form and of the text itself; NULL texts have no row."""
+    shared = texts.sparkSession.sparkContext.broadcast(confusable_classes(texts.sparkSession))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        looks = Looks(shared.value)
         for b in batches:
             ids, out = [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if t is not None:
                     own = _halves(t)
-                    form = visual_form(t)
+                    form = looks.form(t)
                     ids.append(i)
                     out.append((*(own if form is t else _halves(form)), *own))
             cols = list(zip(*out)) or [()] * 4
@@ -184,18 +259,45 @@ def found(documents: DataFrame) -> DataFrame:
     return pairs.select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b")).distinct()
 
 
+def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, rep, texts): each document that looks like a different text, the class's smallest key, and its number of texts.
+
+    One row per document: a class of any size costs its rows, not its pairs.
+    """
+    reps, members = same_looks(documents, key, text)
+    size = reps.groupBy("form").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("texts"))
+    return members.drop("rep").join(size, "form").select(key, F.col("first").alias("rep"), "texts").distinct()
+
+
+# The SQL has a table of its own, written down from what readers take for one another; it knows Latin,
+# Greek, Cyrillic and full-width letters and Devanagari vowels, and spells every look-alike in Latin.
+_SQL_FROM = "АВЕКМНОРСТУХІЈЅаеорсухіјѕһԁԛԝ" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονα"
+_SQL_TO = "ABEKMHOPCTYXIJSaeopcyxijshdqw" + "ABEZHIKMNOPTYXova"
+_SQL_SPACES = "              　"
+_SQL_UNSEEN = "­​‌‍‎‏⁠⁡⁢⁣⁤﻿"
+_SQL_VOWELS = (("अा", "आ"), ("अो", "ओ"), ("अौ", "औ"), ("आे", "ओ"), ("आै", "औ"), ("एे", "ऐ"), ("ाे", "ो"), ("ाै", "ौ"))
+
+
 def form_sql(column: str) -> str:
     """SQL for the form of texts whose words are all Latin or Devanagari."""
-    to = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)} | {c: "-" for c in HYPHENS} | {c: "\n" for c in BREAKS} | _TO_LATIN | LETTERLIKE
-    to |= {chr(c): " " for c in [0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000]}
-    source, target = "".join(to) + INVISIBLE, "".join(to.values()).replace("'", "''")
+    source = _SQL_FROM + "".join(chr(0xFF01 + i) for i in range(94)) + _SQL_SPACES + "‐‑‒–−" + _SQL_UNSEEN
+    target = _SQL_TO + "".join(chr(0x21 + i) for i in range(94)) + " " * len(_SQL_SPACES) + "-----"
     out = column
     for whole, parts in (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl")):
         out = f"replace({out}, '{whole}', '{parts}')"
-    return f"nfc_normalize(translate({out}, '{source}', '{target}'))"
+    out = "nfc_normalize(translate({0}, '{1}', '{2}'))".format(out, source, target.replace("'", "''"))
+    for parts, whole in _SQL_VOWELS:
+        out = f"replace({out}, '{parts}', '{whole}')"
+    return out
 
 
 FOUND_SQL = f"""
 WITH forms AS (SELECT doc_id, text, {form_sql('text')} AS form FROM documents)
 SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM forms a JOIN forms b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text
 """
+
+CLASSES_SQL = f"""
+WITH forms AS (SELECT doc_id, text, {form_sql('text')} AS form FROM documents),
+several AS (SELECT form, min(doc_id) AS rep, count(DISTINCT text) AS texts FROM forms GROUP BY 1 HAVING count(DISTINCT text) > 1)
+SELECT doc_id, rep, texts FROM forms JOIN several USING (form)
+"""

@@ -60,6 +60,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p8_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Where in each document an item's passages stand, from the first to the last."""
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     """Every document of the mix and how often it is used."""
     return mixture.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
@@ -74,8 +79,13 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return looks.found(table(spark, d, "documents"))
 
 
+def p10_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every document that looks like another text, with its class."""
+    return looks.classes(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [p1_found, p1_fingerprint_pairs, p1_groups, p2_found, p4_found, p5_found, p5_rates, p6_found, p7_found, p7_documents, p8_found, p9_mix, p9_shares, p10_found]
+    named = [p1_found, p1_fingerprint_pairs, p1_groups, p2_found, p4_found, p5_found, p5_rates, p6_found, p7_found, p7_documents, p8_found, p8_spans, p9_mix, p9_shares, p10_found, p10_classes]
     return {f.__name__: f for f in named}
 
 
@@ -88,4 +98,5 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": sitelines.FOUND_SQL,
         "p8_found": leaks.FOUND_SQL,
         "p10_found": looks.FOUND_SQL,
+        "p10_classes": looks.CLASSES_SQL,
     }
