@@ -8,6 +8,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -272,7 +273,7 @@ def check_pack(pack: dict) -> dict:
 def extract_page(page: str | None, pack: dict) -> dict[str, str | None]:
     """body, author, image and the raw date of a page; what is missing is NULL, a missing body ''.
 
-    JSON-LD is read before excluded elements go, as packs exclude scripts.
+    Excluded elements do not hide structured data: its objects are gathered from the whole page.
     """
     tree = parse_html(page)
     want = pack.get("article") or {}
@@ -304,21 +305,28 @@ def extract(page: Column, pack: dict) -> Column:
     return run(page)
 
 
-def listing(page: Column, pack: dict) -> Column:
-    """ARRAY<STRUCT<url, title, summary, published>>: cards with a link and a title, first of each link."""
+def page_cards(page: str | None, base: str | None, want: dict) -> list[dict]:
+    """Cards of a listing page with a link and a title, the first of each address.
+
+    Addresses are compared after they are resolved against ``base``, so two spellings of one link
+    are one card.
+    """
+    seen: dict[str, dict] = {}
+    for card in select(parse_html(page), want["item"]):
+        got = {n: select_one(card, want[n]) if n in want else None for n in ("link", "title", "summary", "published")}
+        if got["link"] and got["title"]:
+            url = urljoin(base or "", got["link"].strip())
+            seen.setdefault(url, {"url": url, "title": got["title"], "summary": got["summary"] or "", "published": got["published"]})
+    return list(seen.values())
+
+
+def listing(page: Column, base: Column, pack: dict) -> Column:
+    """ARRAY<STRUCT<url, title, summary, published>>: the cards of each page, addresses resolved against ``base``."""
     check_pack(pack)
     want = pack["listing"]
 
-    def cards(text: str | None) -> list[dict]:
-        seen: dict[str, dict] = {}
-        for card in select(parse_html(text), want["item"]):
-            got = {n: select_one(card, want[n]) if n in want else None for n in ("link", "title", "summary", "published")}
-            if got["link"] and got["title"]:
-                seen.setdefault(got["link"], {"url": got["link"], "title": got["title"], "summary": got["summary"] or "", "published": got["published"]})
-        return list(seen.values())
-
     @F.pandas_udf("array<struct<url:string,title:string,summary:string,published:string>>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(cards, na_action=None)
+    def run(pages: pd.Series, bases: pd.Series) -> pd.Series:
+        return pd.Series([page_cards(p, b, want) for p, b in zip(pages, bases)])
 
-    return run(page)
+    return run(page, base)

@@ -82,8 +82,14 @@ def truncate_error(error: Column) -> Column:
     return F.substring(error, 1, 2000)
 
 
+#: Characters that count as white space at the ends of a text.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def article_text(title: Column, body: Column, summary: Column) -> Column:
-    return F.trim(F.concat_ws("\n\n", title, F.coalesce(F.nullif(body, F.lit("")), summary)))
+    """Title, blank line and body (or summary), without white space of any kind around them; NULLs count as empty."""
+    part = lambda c: F.coalesce(c, F.lit(""))
+    return F.btrim(F.concat(part(title), F.lit("\n\n"), F.coalesce(F.nullif(body, F.lit("")), part(summary))), F.lit(WHITE))
 
 
 def truthy(text: Column, default: bool = False) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from khabarloom.functions.fingerprint import simhash
 from khabarloom.functions.text import looks_devanagari
 from khabarloom.functions.urls import canonical_url
+from khabarloom.operators.groups import components, with_component
 
 
 def published_ladder(feed: Column, page: Column, fetched: Column) -> tuple[Column, Column]:
@@ -28,15 +29,18 @@ def implausible(when: Column, now: Column) -> Column:
     return ahead | (F.year(F.from_utc_timestamp(when, "Asia/Kathmandu")) < 2000)
 
 
-def normalize(items: DataFrame, sources: DataFrame, times: DataFrame) -> DataFrame:
-    """Canonical articles of feed items; ``times`` has (ordinal, at): the items' readable instants.
+def normalize(items: DataFrame, sources: DataFrame, times: DataFrame, page_times: DataFrame | None = None) -> DataFrame:
+    """Canonical articles of feed items.
 
+    ``times`` and ``page_times`` have (ordinal, at): the readable instants of the items' feeds and pages.
     Items whose address or title is empty after cleaning are dropped, as are those of unknown sources.
     """
     rows = items.filter("trim(coalesce(url, '')) != '' and trim(coalesce(title, '')) != ''")
     rows = rows.join(sources.select(F.col("id").alias("source_id"), F.col("lang").alias("_lang"), "category"), "source_id").join(times, "ordinal", "left")
-    feed = F.timestamp_seconds(F.col("at"))
-    published, estimated = published_ladder(feed, F.lit(None).cast("timestamp"), F.col("fetched_at"))
+    if page_times is not None:
+        rows = rows.join(page_times.select("ordinal", F.col("at").alias("_page_at")), "ordinal", "left")
+    page = F.timestamp_seconds(F.col("_page_at")) if page_times is not None else F.lit(None).cast("timestamp")
+    published, estimated = published_ladder(F.timestamp_seconds(F.col("at")), page, F.col("fetched_at"))
     body, summary, title = F.coalesce("body", F.lit("")), F.coalesce("summary", F.lit("")), F.trim("title")
     url = canonical_url(F.col("url"))
     return rows.select(
@@ -117,10 +121,11 @@ def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, block:
 
     Queries (a stated set) are packed into blocks of vectors, and every block meets every tile of at
     most 1,024 rows as one matrix product; what is left are k rows per query and tile, ranked again after the shuffle.
-    Zero and NULL vectors have no neighbours. ``vec_id`` is unique.
+    Tiles and blocks are joined on the numbers of both, so the work is spread over tasks and nothing
+    is broadcast that grows. Zero and NULL vectors have no neighbours. ``vec_id`` is unique.
     """
-    packed = queries.filter("embedding is not null").groupBy(F.floor(F.col("vec_id") / (20 * block)).alias("g")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("held")).select("held")
-    tiles = vectors.filter("embedding is not null").groupBy(F.floor(F.col("vec_id") / 1024).alias("run")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("rows")).select("rows")
+    packed = queries.filter("embedding is not null").groupBy(F.floor(F.col("vec_id") / (20 * block)).alias("g")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("held"))
+    tiles = vectors.filter("embedding is not null").groupBy(F.floor(F.col("vec_id") / 1024).alias("run")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("rows"))
 
     @F.pandas_udf("array<struct<query:bigint,neighbour:bigint,cosine:double>>")
     def nearest(held: pd.Series, rows_: pd.Series) -> pd.Series:
@@ -136,11 +141,69 @@ def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, block:
             out.append(got)
         return pd.Series(out)
 
-    near = tiles.crossJoin(packed).select(F.explode(nearest("held", "rows")).alias("n")).select("n.*")
+    ends = tiles.agg(F.min("run"), F.max("run")).first()
+    if ends[0] is None:
+        return tiles.select(F.lit(0).cast("long").alias("query"), F.lit(0).cast("long").alias("neighbour"), F.lit(0).alias("rank")).limit(0)
+    asks = packed.select("held", F.explode(F.sequence(F.lit(ends[0]), F.lit(ends[1]))).alias("run"))
+    near = asks.join(tiles, "run").select(F.explode(nearest("held", "rows")).alias("n")).select("n.*")
     w = Window.partitionBy("query").orderBy(F.desc("cosine"), "neighbour")
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query", "neighbour", "rank")
 
 
+#: Vectors in a tile; two tiles meet as one matrix product.
+TILE = 1024
+
+
+def story_pairs(vectors: DataFrame, key: str, at: str, embedding: str, threshold: float = 0.8, hours: int = 48) -> DataFrame:
+    """(a, b), a < b: rows at most ``hours`` apart whose vectors have a cosine of ``threshold`` or more.
+
+    Rows fall into windows of ``hours``; a row can only match its own window and the next one.
+    Windows are cut into tiles of about ``TILE`` rows, and pairs of tiles are joined on their
+    numbers, so a window of any size is spread over tasks and only matches leave a task. NULL and
+    zero vectors and rows without a time match nothing. ``key`` is unique.
+    """
+    span = hours * 3600
+    rows = vectors.select(F.col(key).alias("id"), F.unix_micros(at).alias("at"), F.col(embedding).alias("v")).filter("id is not null and at is not null and v is not null")
+    rows = rows.withColumn("w", F.floor(F.col("at") / (1_000_000 * span)))
+    tiles = rows.groupBy("w").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
+    held = rows.join(tiles, "w").withColumn("t", F.pmod(F.xxhash64("id"), F.col("tiles"))).groupBy("w", "t").agg(F.collect_list(F.struct("id", "at", "v")).alias("held"))
+    own = held.join(tiles, "w").join(tiles.select((F.col("w") - 1).alias("w"), F.col("tiles").alias("after")), "w", "left")
+    beside = F.transform(F.sequence(F.col("t"), F.col("tiles") - 1), lambda x: F.struct(F.col("w").alias("w2"), x.alias("t2")))
+    later = F.when(F.col("after").isNull(), F.array().cast("array<struct<w2:bigint,t2:bigint>>")).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("after") - 1), lambda x: F.struct((F.col("w") + 1).alias("w2"), x.alias("t2"))))
+    asks = own.select("w", "t", F.col("held").alias("left"), F.explode(F.concat(beside, later)).alias("p")).select("w", "t", "left", "p.*")
+    met = asks.join(held.select(F.col("w").alias("w2"), F.col("t").alias("t2"), F.col("held").alias("right")), ["w2", "t2"])
+    itself = (F.col("w") == F.col("w2")) & (F.col("t") == F.col("t2"))
+
+    @F.pandas_udf("array<struct<a:bigint,b:bigint>>")
+    def near(left: pd.Series, right: pd.Series, same: pd.Series) -> pd.Series:
+        out = []
+        for x, y, s in zip(left, right, same):
+            xi, yi = (np.array([r["id"] for r in t], np.int64) for t in (x, y))
+            xt, yt = (np.array([r["at"] for r in t], np.int64) for t in (x, y))
+            xm, ym = (_unit(np.array([r["v"] for r in t], np.float64)) for t in (x, y))
+            hit = (xm @ ym.T >= threshold) & (np.abs(xt[:, None] - yt[None, :]) <= span * 1_000_000)
+            if s:
+                hit &= xi[:, None] < yi[None, :]
+            i, j = np.nonzero(hit)
+            out.append([{"a": int(min(p, q)), "b": int(max(p, q))} for p, q in zip(xi[i], yi[j])])
+        return pd.Series(out)
+
+    return met.select(F.explode(near("left", "right", itself)).alias("p")).select("p.a", "p.b")
+
+
+def story_clusters(vectors: DataFrame, key: str, at: str, embedding: str, threshold: float = 0.8, hours: int = 48) -> DataFrame:
+    """(key, cluster): every row with the smallest key of its story; stories are the components of ``story_pairs``."""
+    linked = components(story_pairs(vectors, key, at, embedding, threshold, hours))
+    return with_component(vectors.select(key), linked, key, "cluster")
+
+
+def stories_per_day(articles: DataFrame, clusters: DataFrame, key: str, at: str) -> DataFrame:
+    """(day, articles, stories): what was published each day, an event counted once a day however often it is told."""
+    rows = articles.select(key, F.to_date(at).alias("day")).join(clusters.select(key, "cluster"), key)
+    per = rows.groupBy("day", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("day").agg(F.sum("n").alias("articles"), F.count(F.lit(1)).alias("stories"))
+
+
 def _unit(m: np.ndarray) -> np.ndarray:
     n = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, n, out=np.zeros_like(m), where=n > 0)

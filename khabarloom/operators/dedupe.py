@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from khabarloom.functions.fingerprint import hamming
+from khabarloom.operators.bitparts import learn, sampled
 from khabarloom.runtime import cut
 
 #: Bits in which fingerprints of one story may differ.
@@ -34,9 +35,17 @@ def unknown(items: DataFrame, stored: DataFrame, key: str = "url_hash") -> DataF
     return items.join(stored.select(key), key, "left_anti")
 
 
-#: Equal parts of the 64 bits, and in how many bits each may differ; the radii plus one add up to one more than DISTANCE.
-PARTS = [list(range(i, i + 16)) for i in range(0, 64, 16)]
-RADII = (2, 1, 1, 1)
+def learned_parts(nodes: DataFrame, fingerprint: str, askers: int | None = None, distance: int = DISTANCE) -> tuple[list[list[int]], list[int]]:
+    """The parts of the 64 bits, and how many bits of each may differ, of least cost for as many fingerprints as there are.
+
+    ``askers``: how many others are looked up in ``nodes``; None joins ``nodes`` with themselves.
+    """
+    sample = sampled(nodes, fingerprint)
+    if len(sample) < 2:
+        return [list(range(i, i + 16)) for i in range(0, 64, 16)], [2, 1, 1, 1]
+    n = nodes.count()
+    parts, radii, _ = learn(sample, n, distance) if askers is None else learn(sample, askers, distance, against=n)
+    return parts, radii
 
 
 def part_value(fingerprint: Column, bits: list[int]) -> Column:
@@ -101,8 +110,11 @@ def near_known(rows: DataFrame, stored: DataFrame, key: str, fingerprint: str) -
     """
     mine = rows.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0).select(F.col(fingerprint).alias("f")).distinct()
     theirs = stored.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0).groupBy(F.col(fingerprint).alias("g")).agg(F.min(key).alias("known"))
+    parts, radii = learned_parts(theirs, "g", mine.count())
     own, near = [], []
-    for i, (bits, r) in enumerate(zip(PARTS, RADII)):
+    for i, (bits, r) in enumerate(zip(parts, radii)):
+        if r < 0:
+            continue
         own.append(F.struct(F.lit(i).alias("part"), part_value(F.col("g"), bits).alias("value")))
         near.append(_near(F.array(*(F.lit(m).cast("long") for m in _masks(len(bits), r))), i, part_value(F.col("f"), bits)))
     asks = mine.select("f", F.explode(F.flatten(F.array(*near))).alias("p")).select("f", "p.part", "p.value")
@@ -114,7 +126,8 @@ def near_known(rows: DataFrame, stored: DataFrame, key: str, fingerprint: str) -
 
 def near_pairs(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:
     """(a, b, distance), a < b: distinct fingerprints' first keys within DISTANCE bits."""
-    return partition_pairs(rows, key, fingerprint, PARTS, RADII)
+    nodes = rows.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0).select(F.col(fingerprint).alias("f")).distinct()
+    return partition_pairs(rows, key, fingerprint, *learned_parts(nodes, "f"))
 
 
 def greedy_keep(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:

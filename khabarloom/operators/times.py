@@ -3,7 +3,9 @@
 Every value is read in all the ways its text allows (``readings``). A value with one valid reading
 is settled. The others are chosen by Viterbi over their source's record order: a path pays for a
 change of form and for going back in time, and starts from and ends at the settled values around
-it. Only runs of unsettled values between two settled ones are ever grouped.
+it. Only runs of unsettled values between two settled ones are ever grouped, and a long run by
+chunks: each chunk's costs from its first to its last readings are a small matrix, a path over one
+row per chunk picks the readings at the borders, and each chunk is then settled between them.
 """
 
 from __future__ import annotations
@@ -145,15 +147,31 @@ def _day(y: int, m: int, d: int) -> date | None:
         return None
 
 
-def readings(items: DataFrame, zones: DataFrame, bs_months: DataFrame, zone_names: DataFrame) -> DataFrame:
+#: Forms each mode reads: Bikram Sambat dates, all others, or any.
+MODES = {"bs": {FORM_IDS["bs"]}, "iso": set(FORM_IDS.values()) - {FORM_IDS["bs"], FORM_IDS["bs_ymd"]}, "auto": set(FORM_IDS.values())}
+#: Rows a calendar or list of zone names may have; more cannot be one.
+_TABLE_LIMIT = 1_000_000
+
+
+def _small(table: DataFrame) -> list[tuple]:
+    if (n := table.count()) > _TABLE_LIMIT:
+        raise ValueError(f"{n} rows are no calendar or list of zone names")
+    return [tuple(r) for r in table.collect()]
+
+
+def readings(items: DataFrame, zones: DataFrame, bs_months: DataFrame, zone_names: DataFrame, mode: str = "auto") -> DataFrame:
     """(source_id, ordinal, reads): the valid readings of each item's ``published``.
 
-    Valid: not before 2000 and at most an hour after ``fetched_at`` (NULL: no such bound). The
-    calendar and the zone names are tables of fixed size; an outlet without a zone has no reading
-    of clocks without one.
+    Valid: not before 2000 and at most an hour after ``fetched_at`` (NULL: no such bound). An outlet
+    without a zone has no reading of clocks without one. The calendar has twelve rows a year and the
+    zone names one per abbreviation; both are sent whole, once their size is checked. ``mode``: which
+    forms are read, as a selector pack names them ("bs", "iso" or "auto").
     """
-    bs = [tuple(r) for r in bs_months.select("bs_year", "bs_month", "first_day", "days").limit(10_000).collect()]
-    names = [tuple(r) for r in zone_names.select("abbr", "utc_offset_min").limit(10_000).collect()]
+    if mode not in MODES:
+        raise ValueError(f"unknown date format {mode!r}; there are {sorted(MODES)}")
+    forms = MODES[mode]
+    bs = _small(bs_months.select("bs_year", "bs_month", "first_day", "days"))
+    names = _small(zone_names.select("abbr", "utc_offset_min"))
     zone_of = zones.groupBy(F.col("source_id").alias("_z")).agg(F.min("zone").alias("zone"))
     src = items.select("source_id", "ordinal", "published", F.unix_seconds("fetched_at").alias("fetched")).filter("published is not null")
     src = src.join(zone_of, F.col("source_id") == F.col("_z"), "left").select("source_id", "ordinal", "published", "fetched", "zone")
@@ -164,7 +182,7 @@ def readings(items: DataFrame, zones: DataFrame, bs_months: DataFrame, zone_name
         for b in batches:
             out = []
             for text, fetched, zone in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
-                good = [(f, at) for f, at in reader.readings(text, zone) if at >= _SINCE and (fetched is None or at <= fetched + _AHEAD)]
+                good = [(f, at) for f, at in reader.readings(text, zone) if f in forms and at >= _SINCE and (fetched is None or at <= fetched + _AHEAD)]
                 out.append([{"form": f, "at": at} for f, at in good])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, kind)], names=["source_id", "ordinal", "reads"])
 
@@ -197,18 +215,77 @@ def viterbi(path: list[list[tuple[int, int]]], before: tuple[int, int] | None, a
     return out[::-1]
 
 
-def settle(reads: DataFrame) -> DataFrame:
+def transfer(path: list[list[tuple[int, int]]]) -> list[list[float]]:
+    """The cheapest cost from each reading of the first value to each of the last."""
+    out = []
+    for i in range(len(path[0])):
+        costs = [0.0 if k == i else float("inf") for k in range(len(path[0]))]
+        for prev, now in zip(path, path[1:]):
+            costs = [min(c + _step(p, r) for c, p in zip(costs, prev)) for r in now]
+        out.append(costs)
+    return out
+
+
+_READ = "struct<form:int,at:bigint>"
+
+
+def _borders(runs: DataFrame) -> DataFrame:
+    """(source_id, run, chunk, enter, leave): the readings chosen at the borders of each chunk of runs of several chunks."""
+    import pandas as pd
+
+    several = runs.groupBy("source_id", "run").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).filter("lo < hi").select("source_id", "run")
+    wide = runs.join(several, ["source_id", "run"])
+
+    def costs(pdf):  # noqa: ANN001, ANN202
+        pdf = pdf.sort_values("ordinal")
+        path = [[(r["form"], r["at"]) for r in x] for x in pdf["reads"]]
+        head = pdf.iloc[0]
+        ends = [[{"form": f, "at": a} for f, a in x] for x in (path[0], path[-1])]
+        return pd.DataFrame({"source_id": [head["source_id"]], "run": [head["run"]], "chunk": [head["chunk"]], "first": [ends[0]], "last": [ends[1]], "cost": [transfer(path)], "before": [head["before"]], "after": [head["after"]]})
+
+    parts = wide.groupBy("source_id", "run", "chunk").applyInPandas(costs, f"source_id string, run bigint, chunk bigint, first array<{_READ}>, last array<{_READ}>, cost array<array<double>>, before {_READ}, after {_READ}")
+
+    def walk(pdf):  # noqa: ANN001, ANN202
+        pdf = pdf.sort_values("chunk")
+        pair = lambda r: (r["form"], r["at"])
+        ends = [None if (r := pdf[c].iloc[0]) is None or r["at"] is None else pair(r) for c in ("before", "after")]
+        steps = [([pair(r) for r in f], [pair(r) for r in la], c) for f, la, c in zip(pdf["first"], pdf["last"], pdf["cost"])]
+        total, links = None, []
+        for first, last, cost in steps:
+            if total is None:
+                enter = [(_step(ends[0], r) if ends[0] else 0.0, -1) for r in first]
+            else:
+                enter = [min((t + _step(p, r), i) for i, (t, p) in enumerate(zip(total, before))) for r in first]
+            best = [min((e + cost[k][j], k) for k, (e, _) in enumerate(enter)) for j in range(len(last))]
+            links.append([(k, enter[k][1]) for _, k in best])
+            total, before = [t for t, _ in best], last
+        at = min(range(len(total)), key=lambda i: (total[i] + (_step(before[i], ends[1]) if ends[1] else 0.0), i))
+        picks = []
+        for (first, last, _), link in zip(steps[::-1], links[::-1]):
+            k, prev = link[at]
+            picks.append((first[k], last[at]))
+            at = prev
+        picks.reverse()
+        as_row = lambda r: {"form": r[0], "at": r[1]}
+        return pd.DataFrame({"source_id": pdf["source_id"].values, "run": pdf["run"].values, "chunk": pdf["chunk"].values, "enter": [as_row(a) for a, _ in picks], "leave": [as_row(b) for _, b in picks]})
+
+    return parts.groupBy("source_id", "run").applyInPandas(walk, f"source_id string, run bigint, chunk bigint, enter {_READ}, leave {_READ}")
+
+
+def settle(reads: DataFrame, chunk: int = _CHUNK) -> DataFrame:
     """(source_id, ordinal, at): one instant for each value with a valid reading.
 
     Settled neighbours are found by windows over chunks of a source's order and a window over one
-    row per chunk, so a source of any size is spread over tasks.
+    row per chunk, so a source of any size is spread over tasks; ``chunk`` is the length of a chunk.
     """
-    reads = cut(reads.filter(F.size("reads") > 0), "readings")
+    none = "\0"  # rows without a source are one source
+    reads = cut(reads.filter(F.size("reads") > 0).withColumn("source_id", F.coalesce("source_id", F.lit(none))), "readings")
+    named = lambda df: df.withColumn("source_id", F.nullif(F.col("source_id"), F.lit(none)))
     sure = reads.filter(F.size("reads") == 1).select("source_id", "ordinal", F.col("reads")[0]["at"].alias("at"))
     if reads.filter(F.size("reads") > 1).isEmpty():
-        return sure
+        return named(sure)
     anchor = F.when(F.size("reads") == 1, F.struct("ordinal", F.col("reads")[0].alias("r")))
-    rows = reads.withColumn("chunk", F.floor(F.col("ordinal") / _CHUNK)).withColumn("anchor", anchor)
+    rows = reads.withColumn("chunk", F.floor(F.col("ordinal") / chunk)).withColumn("anchor", anchor)
     ends = rows.filter("anchor is not null").groupBy("source_id", "chunk").agg(F.min("anchor").alias("lo"), F.max("anchor").alias("hi"))
     chunks = rows.select("source_id", "chunk").distinct().join(ends, ["source_id", "chunk"], "left")
     over = Window.partitionBy("source_id").orderBy("chunk")
@@ -223,27 +300,32 @@ def settle(reads: DataFrame) -> DataFrame:
     rows = rows.withColumn("a", F.first("anchor", ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing)))
     open_ = rows.filter("anchor is null").join(chunks, ["source_id", "chunk"])
     open_ = open_.select("source_id", "ordinal", "reads", F.coalesce("b", "prev").alias("b"), F.coalesce("a", "next").alias("a"))
-    runs = open_.select("source_id", F.coalesce(F.col("b.ordinal"), F.lit(-1)).alias("run"), "ordinal", "reads", F.col("b.r").alias("before"), F.col("a.r").alias("after"))
+    runs = open_.select("source_id", F.coalesce(F.col("b.ordinal"), F.lit(-1)).alias("run"), F.floor(F.col("ordinal") / chunk).alias("chunk"), "ordinal", "reads", F.col("b.r").alias("before"), F.col("a.r").alias("after"))
+    runs = cut(runs, "open-runs")
+    told = runs.join(_borders(runs), ["source_id", "run", "chunk"], "left")
 
     def choose(pdf):  # noqa: ANN001, ANN202
         import pandas as pd
 
         pdf = pdf.sort_values("ordinal")
         path = [[(r["form"], r["at"]) for r in reads_] for reads_ in pdf["reads"]]
-        ends_ = [None if (r := pdf[c].iloc[0]) is None or r["at"] is None else (r["form"], r["at"]) for c in ("before", "after")]
-        return pd.DataFrame({"source_id": pdf["source_id"], "ordinal": pdf["ordinal"], "at": [at for _, at in viterbi(path, *ends_)]})
+        before, after, enter, leave = (None if (r := pdf[c].iloc[0]) is None or r["at"] is None else (r["form"], r["at"]) for c in ("before", "after", "enter", "leave"))
+        if enter:  # a chunk of a longer run: its ends are chosen
+            path[0], path[-1] = [enter], ([leave] if len(path) > 1 else [enter])
+            before = after = None
+        return pd.DataFrame({"source_id": pdf["source_id"], "ordinal": pdf["ordinal"], "at": [at for _, at in viterbi(path, before, after)]})
 
-    chosen = runs.groupBy("source_id", "run").applyInPandas(choose, "source_id string, ordinal bigint, at bigint")
-    return sure.unionByName(chosen)
+    chosen = told.groupBy("source_id", "run", "chunk").applyInPandas(choose, "source_id string, ordinal bigint, at bigint")
+    return named(sure.unionByName(chosen))
 
 
-def item_times(items: DataFrame, zones: DataFrame, bs_months: DataFrame, zone_names: DataFrame) -> DataFrame:
+def item_times(items: DataFrame, zones: DataFrame, bs_months: DataFrame, zone_names: DataFrame, mode: str = "auto") -> DataFrame:
     """(source_id, ordinal, at): each readable item's instant, whole seconds since 1970 UTC, fractions dropped.
 
     ``ordinal`` names an item; one that is there twice counts once, with its earliest instant. NULL,
     empty and unreadable values have no row.
     """
-    settled = settle(readings(items, zones, bs_months, zone_names))
+    settled = settle(readings(items, zones, bs_months, zone_names, mode))
     return settled.groupBy("ordinal").agg(F.min("source_id").alias("source_id"), F.min("at").alias("at"))
 
 

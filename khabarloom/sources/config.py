@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,36 @@ def load_sources(spark: SparkSession, folder: str, active_only: bool = False) ->
     return df.filter("active") if active_only else df
 
 
+# Settings and what they are without a word of the environment.
+DEFAULTS = {
+    "REQUEST_TIMEOUT": 20.0,
+    "PER_HOST_DELAY": 1.0,
+    "MAX_RETRIES": 3,
+    "RESPECT_ROBOTS": True,
+    "FETCH_BODIES": True,
+    "MAX_BODIES_PER_RUN": 25,
+    "INGEST_CONCURRENCY": 4,
+    "LOG_LEVEL": "INFO",
+}
+
+
+def load_settings(env: Mapping[str, str]) -> dict[str, bool | int | float | str]:
+    """Every setting with the type of its default; a number that is none is refused by its name."""
+    out: dict[str, bool | int | float | str] = {}
+    for name, default in DEFAULTS.items():
+        text = env.get(name)
+        if text is None:
+            out[name] = default
+        elif isinstance(default, bool):
+            out[name] = text.strip().lower() in ("1", "true", "yes", "on")
+        else:
+            try:
+                out[name] = type(default)(text)
+            except ValueError:
+                raise ValueError(f"{name}: {text!r} is no {type(default).__name__}") from None
+    return out
+
+
 def load_pack(folder: str, name: str) -> dict:
     """A selector pack; an empty file is an empty pack, anything but a mapping is refused."""
     import yaml

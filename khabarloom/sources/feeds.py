@@ -50,14 +50,19 @@ def feed_items(payloads: DataFrame, keep: list[str], xml: str = "payload", base:
 
 
 def listing_items(pages: DataFrame, pack: dict, keep: list[str], html: str = "html", base: str = "url") -> DataFrame:
-    """One row per card of a listing page, links resolved, the first of each link."""
-    rows = pages.select(*keep, F.col(base).alias("_base"), F.posexplode(listing(F.col(html), pack)).alias("place", "c"))
-    return rows.select(*keep, "place", join_url(F.col("_base"), F.col("c.url")).alias("url"), F.col("c.title").alias("title"), F.col("c.summary").alias("summary"), F.col("c.published").alias("published"))
+    """One row per card of a listing page, links resolved, the first of each address."""
+    rows = pages.select(*keep, F.posexplode(listing(F.col(html), F.col(base), pack)).alias("place", "c"))
+    return rows.select(*keep, "place", F.col("c.url").alias("url"), F.col("c.title").alias("title"), F.col("c.summary").alias("summary"), F.col("c.published").alias("published"))
 
 
-def with_bodies(items: DataFrame, pages: DataFrame, pack: dict, html: str = "html") -> DataFrame:
-    """Items with what their landed page adds: body and image where it has them, author and date to fill gaps."""
-    got = pages.select(F.col("url").alias("_url"), extract(F.col(html), pack).alias("p"))
+def with_bodies(items: DataFrame, pages: DataFrame, pack: dict, html: str = "html", order: str | None = None) -> DataFrame:
+    """Items with what their landed page adds: body and image where it has them, author and date to fill gaps.
+
+    Of several pages of one address the one lowest in ``order`` counts (the text itself without an
+    order), so items are never multiplied; items without a page stay as they are.
+    """
+    one = pages.filter("url is not null").groupBy(F.col("url").alias("_url")).agg((F.min_by(html, order) if order else F.min(html)).alias("_html"))
+    got = one.select("_url", extract(F.col("_html"), pack).alias("p"))
     full = lambda new, old: F.coalesce(F.nullif(F.col(new), F.lit("")), F.col(old)).alias(old)
     fill = lambda new, old: F.coalesce(F.nullif(F.col(old), F.lit("")), F.col(new)).alias(old)
     both = items.join(got, F.col("url") == F.col("_url"), "left")

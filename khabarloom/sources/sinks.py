@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 from khabarloom.operators.dedupe import first_per_key
+from khabarloom.runtime import cut
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -23,16 +24,13 @@ def to_insert(batch: DataFrame, table: DataFrame | None, key: str = "url_hash",
 
 
 def upsert(batch: DataFrame, path: str, key: str = "url_hash", order: str = "ordinal") -> int:
-    """Append what is new; returns the number of rows written. Running a batch again writes none."""
-    new = to_insert(batch, stored(batch.sparkSession, path), key, order)
-    before = _count(batch.sparkSession, path)
-    new.write.mode("append").parquet(path)
-    return _count(batch.sparkSession, path) - before
-
+    """Append what is new; returns the number of rows written. Running a batch again writes none.
 
-def _count(spark: SparkSession, path: str) -> int:
-    t = stored(spark, path)
-    return 0 if t is None else t.count()
+    The new rows are written once and counted there: the table is read for its keys alone.
+    """
+    new = cut(to_insert(batch, stored(batch.sparkSession, path), key, order), "new-rows")
+    new.write.mode("append").parquet(path)
+    return new.count()
 
 
 # The stored tables and their columns.
