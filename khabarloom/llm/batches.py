@@ -1,32 +1,42 @@
 """Problem 2: new batches against everything accepted so far.
 
 ``Ledger`` keeps, in a folder all executors reach, an inverted index of rare-run prefixes and the
-accepted run sets and address keys. A batch is probed against them: no accepted text is read
-again, and run sets only in the ranges of ids that hold candidates. Postings and keys are bucketed,
-so a probe shuffles the batch and never the history.
+accepted run sets and address keys. A batch is probed against them and its accepted rows are
+appended, so no accepted text is read again, and run sets only in the ranges of ids that hold
+candidates. Postings and keys are bucketed, so a probe shuffles the batch and never the history. A
+ledger can be opened again in another session; what was not committed is not seen.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from typing import TypeVar
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from khabarloom.llm import runjoin
 from khabarloom.llm.neardup import RUNS_SQL
 from khabarloom.runtime import cut, shared_dir
 
+T = TypeVar("T")
 #: Bits in which the fingerprints of two near-duplicates may differ.
 DISTANCE = 8
 
 
-#: Ids per range of the stored run sets.
-RANGE = 1 << 20
+#: Bytes of history per bucket of the index, the fewest buckets, and bytes of run sets per range of ids.
+BUCKET_BYTES, LEAST_BUCKETS, RANGE_BYTES = 64 << 20, 8, 32 << 20
+#: Ranges of ids that are looked up by their own bounds; more are read whole.
+_BOUNDS = 64
 #: Columns in which texts of one class agree: run set and fingerprint.
 _CLASS = ["hi", "lo", "simhash"]
-_SETS = "id bigint, simhash bigint, hi bigint, lo bigint, n int, runs array<bigint>, span bigint"
+_SETS = "id bigint, simhash bigint, hi bigint, lo bigint, n int, runs array<bigint>, batch int, span bigint"
+_TABLES = {"postings": ("run", "id BIGINT, simhash BIGINT, n INT, pos INT, run BIGINT"), "urls": ("url_hash", "url_hash STRING")}
 
 
 def _close(a: Column, b: Column) -> Column:
@@ -44,52 +54,116 @@ class Ledger:
     """What was accepted so far, as three tables that only grow.
 
     * postings, bucketed by run: the probed runs of one text per (run set, fingerprint);
-    * run sets, partitioned by ranges of ``id``: a verification reads the ranges it has candidates in;
+    * run sets, by ranges of ``id`` and sorted in them: a verification reads the ranges it has
+      candidates in, and of these the row groups between its smallest and largest;
     * address keys, bucketed by key.
 
+    Rows carry the number of their append and count once it is committed, which is its last step: an
+    append that broke off is not seen, and the next one writes over it. The order of runs is that of
+    the first history; it decides what a probe costs, not what it finds. One writer at a time.
+
     ``history`` and batches have ``id`` (a bigint, unique over both, rising with arrival), ``order``
     (comparable, ascending in time), ``url_hash``, ``simhash`` and ``text``. A NULL ``url_hash``
     matches nothing, a NULL or 0 ``simhash`` and a text without tokens are near nothing. Rows of one
     id are one row. Further columns are ignored.
     """
 
-    def __init__(self, history: DataFrame, buckets: int = 24, span: int = RANGE) -> None:
-        self.spark, self.buckets, self.span = history.sparkSession, buckets, span
-        self.name = f"ledger_{uuid.uuid4().hex}"
-        self.path = f"{shared_dir(self.spark)}/{self.name}"
-        self.appended = 0
-        self.levels: np.ndarray = runjoin.frequency_levels(history, "text")
-        self._append(history)
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        """Open the ledger in the folder ``path``."""
+        self.spark, self.path = spark, path
+        told = spark.read.parquet(f"{path}/about").first()
+        self.buckets, self.span = told.buckets, told.span
+        if told.counters is None:
+            self.runs = runjoin.RunOrder(table=spark.read.parquet(f"{path}/order"))
+        else:
+            self.runs = runjoin.RunOrder(np.frombuffer(bytes(told.counters), np.uint8))
+        self.name = "ledger_" + hashlib.md5(path.encode()).hexdigest()[:16]
+        for table, (column, columns) in _TABLES.items():
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name}_{table} ({columns}, batch INT) USING parquet PARTITIONED BY (batch) CLUSTERED BY ({column}) SORTED BY ({column}) INTO {self.buckets} BUCKETS LOCATION '{path}/{table}'")
+            fs, at = self._folder(table)
+            fs.mkdirs(at)
+            spark.sql(f"ALTER TABLE {self.name}_{table} RECOVER PARTITIONS")  # a catalog that has not seen them
+        self.appended = self._committed()
+
+    @classmethod
+    def create(cls, history: DataFrame, path: str | None = None, buckets: int | None = None, span: int | None = None) -> Ledger:
+        """A new ledger of ``history``, in ``path`` or a folder of its own; sizes follow the history's bytes and ids."""
+        spark = history.sparkSession
+        path = path or f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+        told = history.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+        size = told.bytes or 0
+        buckets = buckets or max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+        span = span or 1 << max(10, (RANGE_BYTES * (told.n or 1) // max(1, size)).bit_length() - 1)
+        order = runjoin.run_order(history, "text")
+        counters = None if order.counters is None else bytearray(order.counters.tobytes())
+        if order.table is not None:
+            order.table.write.parquet(f"{path}/order")
+        spark.createDataFrame([(buckets, span, counters)], "buckets int, span bigint, counters binary").coalesce(1).write.parquet(f"{path}/about")
+        ledger = cls(spark, path)
+        ledger._append(history, ledger._sets(history))
+        return ledger
+
+    def _committed(self) -> int:
+        """The number of appends that were completed."""
+        at = self._folder("commits")
+        return sum(1 for _ in at[0].listStatus(at[1])) if at[0].exists(at[1]) else 0
+
+    def _folder(self, name: str):  # noqa: ANN202
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
     def _sets(self, rows: DataFrame) -> DataFrame:
         """Run sets of the rows whose fingerprint and text can have a near-duplicate."""
         usable = rows.filter(F.coalesce("simhash", F.lit(0)) != 0)
-        return runjoin.ordered_sets(usable, "id", "text", self.levels, keep=["simhash"], whole=True)
+        return runjoin.ordered_sets(usable, "id", "text", self.runs, keep=["simhash"], whole=True)
 
     def _range(self) -> Column:
         return F.floor(F.col("id") / self.span)
 
-    def _grow(self, rows: DataFrame, table: str, column: str) -> None:
-        out = rows.repartition(self.buckets, column).write.mode("append").format("parquet").option("compression", "zstd").option("path", f"{self.path}/{table}")
+    def _table(self, table: str) -> DataFrame:
+        return self.spark.table(f"{self.name}_{table}").filter(F.col("batch") < self.appended).drop("batch")
+
+    def _grow(self, rows: DataFrame, table: str) -> None:
+        column = _TABLES[table][0]
+        out = rows.withColumn("batch", F.lit(self.appended)).repartition(self.buckets, column).write.mode("append").format("parquet")
+        out = out.option("compression", "zstd").option("path", f"{self.path}/{table}").partitionBy("batch")
         out.bucketBy(self.buckets, column).sortBy(column).saveAsTable(f"{self.name}_{table}")
 
-    def _append(self, rows: DataFrame) -> None:
-        """Add accepted rows to the three tables; their texts are broken into runs once."""
+    def _append(self, rows: DataFrame, sets: DataFrame) -> None:
+        """Add accepted rows and their run sets to the three tables, then commit."""
+        for table in ("sets", *_TABLES):  # what an append of this number that broke off has left
+            fs, at = self._folder(f"{table}/batch={self.appended}")
+            fs.delete(at, True)
         at = f"{self.path}/sets/batch={self.appended}"
-        self._sets(rows).withColumn("span", self._range()).write.option("compression", "zstd").partitionBy("span").parquet(at)
+        placed = sets.withColumn("span", self._range()).sortWithinPartitions("span", "id")
+        placed.write.option("compression", "zstd").option("parquet.block.size", str(4 << 20)).partitionBy("span").parquet(at)
+        own = self.spark.read.schema(_SETS).option("basePath", f"{self.path}/sets").parquet(at)
+        probed = runjoin.postings(runjoin.one_per_class(own, "id", _CLASS, whole=self.appended == 0), "id", "simhash")
+        self._both(
+            lambda: self._grow(probed.select("id", "simhash", "n", "pos", "run"), "postings"),
+            lambda: self._grow(rows.filter("url_hash is not null").select("url_hash").distinct(), "urls"),
+        )
+        fs, done = self._folder(f"commits/{self.appended}")
+        fs.mkdirs(done)
         self.appended += 1
-        own = self.spark.read.schema(_SETS).parquet(at)
-        self._grow(runjoin.postings(runjoin.one_per_class(own, "id", _CLASS), "id", "simhash"), "postings", "run")
-        self._grow(rows.filter("url_hash is not null").select("url_hash").distinct(), "urls", "url_hash")
+
+    @staticmethod
+    def _both(*jobs: Callable[[], T]) -> list[T]:
+        """What the jobs return; they run beside one another, as each is too small for a cluster by itself."""
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            return [f.result() for f in [pool.submit(job) for job in jobs]]
 
     def _stored_sets(self, ids: DataFrame) -> DataFrame:
-        """(id, runs) of accepted texts; only ranges of ``ids`` (column id) are read.
+        """(id, runs) of accepted texts; only ranges of ``ids`` (column id), and there between the least and greatest, are read.
 
         The list of ranges is bounded by the history's length over ``span``.
         """
-        spans = [r[0] for r in ids.select(self._range().alias("s")).distinct().collect()]
-        stored = self.spark.read.schema(f"{_SETS}, batch int").parquet(f"{self.path}/sets")
-        return stored.filter(F.col("span").isin(spans)).join(ids, "id", "left_semi").select("id", "runs")
+        ends = ids.groupBy(self._range().alias("s")).agg(F.min("id").alias("lo"), F.max("id").alias("hi")).collect()
+        stored = self.spark.read.schema(_SETS).parquet(f"{self.path}/sets").filter((F.col("batch") < self.appended) & F.col("span").isin([r.s for r in ends]))
+        if 0 < len(ends) <= _BOUNDS:
+            stored = stored.filter(reduce(Column.__or__, [F.col("id").between(r.lo, r.hi) for r in ends]))
+        return stored.join(ids, "id", "left_semi").select("id", "runs")
 
     def _candidates(self, probes: DataFrame, index: DataFrame) -> DataFrame:
         """(a, b): a text of ``probes`` and one of ``index`` that may overlap by 0.5."""
@@ -112,24 +186,27 @@ class Ledger:
         rejected if an accepted row has their ``url_hash``, or has a fingerprint within 8 bits and
         an overlap of 0.5 or more.
         """
+        return self._decide(batch)[0]
+
+    def _decide(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The decisions on ``batch``, and its run sets."""
         sets = cut(self._sets(batch), "batch-sets")
         groups = sets.groupBy("hi", "lo", "simhash").agg(F.min("id").alias("cls"))
         member = sets.select("id", "hi", "lo", "simhash").distinct().join(groups, ["hi", "lo", "simhash"]).select("id", "cls")
-        probes = runjoin.postings(runjoin.one_per_class(sets, "id", _CLASS), "id", "simhash")
-        old = self._candidates(probes, self.spark.table(f"{self.name}_postings")).withColumn("old", F.lit(True))
+        probes = runjoin.postings(runjoin.one_per_class(sets, "id", _CLASS, whole=False), "id", "simhash")
+        old = self._candidates(probes, self._table("postings")).withColumn("old", F.lit(True))
         new = self._candidates(probes, probes).filter("a < b").withColumn("old", F.lit(False))
-        pairs = cut(old.unionByName(new), "batch-candidates")
+        urls = batch.select("id", "url_hash").join(self._table("urls"), "url_hash", "left_semi").select("id")
+        pairs, seen = self._both(lambda: cut(old.unionByName(new), "batch-candidates"), lambda: cut(urls, "batch-seen"))
         own = sets.select("id", "runs")
         there = self._stored_sets(pairs.filter("old").select(F.col("b").alias("id")).distinct()).unionByName(own.join(pairs.filter("not old").select(F.col("b").alias("id")).distinct(), "id", "left_semi"))
         near = cut(_overlapping(pairs, own, there), "batch-near")
 
-        urls = self.spark.table(f"{self.name}_urls")
-        seen = batch.select("id", "url_hash").join(urls, "url_hash", "left_semi").select("id")
         like = member.join(near.filter("old").select(F.col("a").alias("cls")).distinct(), "cls", "left_semi").select("id")
         blocked = seen.unionByName(like).distinct().withColumn("blocked", F.lit(True))
         nodes = batch.select("id", "order", "url_hash").join(member, "id", "left").join(blocked, "id", "left")
         nodes = nodes.withColumn("state", F.when(F.col("blocked"), 2).otherwise(0)).drop("blocked")
-        return self._resolve(cut(nodes, "batch-nodes"), near.filter("not old").select("a", "b"))
+        return self._resolve(cut(nodes, "batch-nodes"), near.filter("not old").select("a", "b")), sets
 
     def _resolve(self, nodes: DataFrame, near: DataFrame) -> DataFrame:
         """Accept in order: rounds over the rows that still wait for an earlier one.
@@ -142,9 +219,12 @@ class Ledger:
         in_group = nodes.select("id", F.explode(F.array_compact(F.array(url, cls))).alias("g"))
         both = near.select(F.concat(F.lit("c"), F.col("a").cast("string")).alias("g"), F.concat(F.lit("c"), F.col("b").cast("string")).alias("h"))
         beside = both.unionByName(both.select(F.col("h").alias("g"), F.col("g").alias("h"))).unionByName(in_group.select("g", F.col("g").alias("h")).distinct())
-        beside = cut(beside.select("g", "h"), "batch-beside")
-        state = nodes.select("id", "order", "url_hash", "cls", "state")
-        while not state.filter("state = 0").isEmpty():
+        beside = beside.select("g", "h")
+        state, rounds = nodes.select("id", "order", "url_hash", "cls", "state"), 0
+        while rounds == 0 or not state.filter("state = 0").isEmpty():
+            rounds += 1
+            if rounds == 2:  # most batches are settled in one round
+                beside = cut(beside, "batch-beside")
             there = state.select("id", "order", "state", F.explode(F.array_compact(F.array(url, cls))).alias("g"))
             firsts = there.groupBy("g").agg(
                 F.min(F.when(F.col("state") == 1, F.col("order"))).alias("acc"),
@@ -164,10 +244,10 @@ class Ledger:
         return state.select("id", (F.col("state") == 1).alias("accepted"))
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Decide a batch, then append its accepted rows to the index; returns the decisions."""
-        verdict = cut(self.decide(batch), "batch-verdict")
-        taken = batch.join(verdict.filter("accepted"), "id", "left_semi")
-        self._append(taken)
+        """Decide a batch, then append its accepted rows to the index; returns the decisions. Its texts are broken into runs once."""
+        verdict, sets = self._decide(batch)
+        taken = verdict.filter("accepted").select("id")
+        self._append(batch.join(taken, "id", "left_semi"), sets.join(taken, "id", "left_semi"))
         return verdict
 
 
@@ -176,31 +256,30 @@ def _rows(df: DataFrame, order: Column) -> DataFrame:
 
 
 def found(articles: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Incoming rows that are not accepted, all of ``articles`` being accepted."""
-    ledger = Ledger(_rows(articles, F.struct(F.lit(0).alias("batch_no"), F.col("article_id"))))
-    verdict = ledger.decide(_rows(incoming, F.struct("batch_no", "article_id")))
+    """Incoming rows that are not accepted, all of ``articles`` being accepted; batches are added one by one, in order."""
+    ledger = Ledger.create(_rows(articles, F.col("article_id")))
+    numbers = sorted((r[0] for r in incoming.select("batch_no").distinct().collect()), key=lambda n: (n is not None, n))
+    refused = [_refused(ledger.add(_rows(incoming.filter(F.col("batch_no").eqNullSafe(F.lit(n))), F.col("article_id")))) for n in numbers]
+    return reduce(DataFrame.unionByName, refused) if refused else incoming.select("article_id").limit(0)
+
+
+def _refused(verdict: DataFrame) -> DataFrame:
     return verdict.filter("not accepted").select(F.col("id").alias("article_id")).distinct()
 
 
+_PAIRS_SQL = """
+  SELECT i.article_id AS a, o.article_id AS b FROM incoming_articles i JOIN {0} o ON bit_count(xor(i.simhash, o.simhash)) <= 8
+  JOIN sets_incoming_articles x ON x.article_id = i.article_id JOIN sets_{0} y ON y.article_id = o.article_id
+  WHERE i.simhash <> 0 AND o.simhash <> 0 AND i.article_id <> o.article_id AND 3 * len(list_intersect(x.r, y.r)) >= len(x.r) + len(y.r) AND len(x.r) > 0"""
+
 FOUND_SQL = f"""
 WITH RECURSIVE {RUNS_SQL.format('articles')}, {RUNS_SQL.format('incoming_articles')},
-old AS (
-  SELECT DISTINCT i.article_id FROM (
-    SELECT a.article_id, b.article_id AS other FROM runs_incoming_articles a JOIN runs_articles b ON a.run = b.run
-    GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)) p
-  JOIN incoming_articles i ON i.article_id = p.article_id JOIN articles o ON o.article_id = p.other
-  WHERE i.simhash <> 0 AND o.simhash <> 0 AND bit_count(xor(i.simhash, o.simhash)) <= 8
-  UNION SELECT article_id FROM incoming_articles WHERE url_hash IN (SELECT url_hash FROM articles)
-), near AS (
-  SELECT p.a, p.b FROM (
-    SELECT a.article_id AS a, b.article_id AS b FROM runs_incoming_articles a JOIN runs_incoming_articles b ON a.run = b.run AND a.article_id <> b.article_id
-    GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)) p
-  JOIN incoming_articles i ON i.article_id = p.a JOIN incoming_articles o ON o.article_id = p.b
-  WHERE i.simhash <> 0 AND o.simhash <> 0 AND bit_count(xor(i.simhash, o.simhash)) <= 8
-  UNION SELECT a.article_id, b.article_id FROM incoming_articles a JOIN incoming_articles b ON a.url_hash = b.url_hash AND a.article_id <> b.article_id
-), ordered AS (
-  SELECT article_id, row_number() OVER (ORDER BY batch_no, article_id) AS rn, article_id IN (SELECT article_id FROM old) AS old,
-    coalesce((SELECT list(b) FROM near WHERE a = article_id), []) AS nears FROM incoming_articles
+old AS (SELECT DISTINCT a AS article_id FROM ({_PAIRS_SQL.format('articles')}) UNION SELECT article_id FROM incoming_articles WHERE url_hash IN (SELECT url_hash FROM articles)),
+near AS ({_PAIRS_SQL.format('incoming_articles')} UNION SELECT a.article_id, b.article_id FROM incoming_articles a JOIN incoming_articles b ON a.url_hash = b.url_hash AND a.article_id <> b.article_id),
+nears AS (SELECT a AS article_id, list(b) AS nears FROM near GROUP BY 1),
+ordered AS MATERIALIZED (
+  SELECT article_id, row_number() OVER (ORDER BY batch_no, article_id) AS rn, o.article_id IS NOT NULL AS old, coalesce(n.nears, []) AS nears
+  FROM incoming_articles LEFT JOIN old o USING (article_id) LEFT JOIN nears n USING (article_id)
 ), walk AS (
   SELECT 0::BIGINT AS rn, NULL::BIGINT AS article_id, true AS taken, []::BIGINT[] AS held
   UNION ALL

@@ -1,99 +1,18 @@
 """Hamming join of 64-bit fingerprints by the generalised pigeonhole principle.
 
-The partition is learned: bits that vary together go into one part, so the other parts keep bits
-that tell texts apart. Each part gets its own threshold; a dynamic program over parts spends the
-distance where it brings the fewest candidates, estimated on a sample. Sample and thresholds decide
-only the cost: every split whose thresholds plus one exceed the distance finds every pair.
+The partition is learned (``operators/bitparts``): correlated bits are grouped, and a dynamic program
+gives each group its own threshold, where the distance brings the fewest candidates for as many rows
+as there are. Every split it may choose finds every pair.
 """
 
 from __future__ import annotations
 
-from math import comb
-
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from khabarloom.operators.bitparts import SAMPLE, learn, sampled
 from khabarloom.operators.dedupe import DISTANCE, partition_pairs
 
-#: Fingerprints the partition is learned on (the sample's bound), and the parts it may have.
-SAMPLE = 4000
-PARTS = (3, 4, 5, 6)
-#: Cost of one probe against that of one candidate.
-PROBE_COST = 1.0
-
-
-def group_bits(bits: np.ndarray, parts: int) -> list[list[int]]:
-    """Split the columns of a 0/1 sample into equal parts, each grown around a bit by correlation."""
-    width = bits.shape[1]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        tie = np.abs(np.nan_to_num(np.corrcoef(bits.T)))
-    free, out = set(range(width)), []
-    for p in range(parts):
-        size = width // parts + (p < width % parts)
-        seed = min(free, key=lambda i: (-sum(tie[i, j] for j in free), i))
-        part = [seed]
-        free.discard(seed)
-        while len(part) < size:
-            best = min(free, key=lambda i: (-sum(tie[i, j] for j in part), i))
-            part.append(best)
-            free.discard(best)
-        out.append(sorted(part))
-    return out
-
-
-def candidate_rates(bits: np.ndarray, part: list[int], most: int) -> list[float]:
-    """Share of sampled pairs that differ in at most 0, 1, ... ``most`` bits of the part."""
-    codes = bits[:, part].astype(np.int64) @ (1 << np.arange(len(part), dtype=np.int64))
-    values, n = np.unique(codes, return_counts=True)
-    hits = np.zeros(most + 1)
-    for i in range(0, len(values), 512):
-        far = np.bitwise_count(values[i : i + 512, None] ^ values[None, :])
-        weight = n[i : i + 512, None] * n[None, :]
-        for r in range(most + 1):
-            hits[r] += weight[far <= r].sum()
-    return list(hits / max(1, len(codes)) ** 2)
-
-
-def allocate(costs: list[list[float]], distance: int) -> tuple[list[int], float]:
-    """Thresholds of least total cost whose successors add up to ``distance`` + 1.
-
-    ``costs[i][t]`` is the cost of threshold t - 1 in part i (index 0: the part is not searched).
-    """
-    best: list[tuple[float, list[int]] | None] = [(0.0, [])] + [None] * (distance + 1)
-    for c in costs:
-        new: list[tuple[float, list[int]] | None] = [None] * (distance + 2)
-        for spent, held in enumerate(best):
-            if held is None:
-                continue
-            for t, cost in enumerate(c):
-                at = min(distance + 1, spent + t)
-                total = held[0] + cost
-                if new[at] is None or total < new[at][0]:
-                    new[at] = (total, [*held[1], t - 1])
-        best = new
-    if best[distance + 1] is None:
-        raise ValueError("the parts cannot cover this distance")
-    return best[distance + 1][1], best[distance + 1][0]
-
-
-def learn(fingerprints: np.ndarray, rows: int, distance: int = DISTANCE) -> tuple[list[list[int]], list[int]]:
-    """(parts, radii) of least estimated cost for a self-join of ``rows`` fingerprints."""
-    bits = ((fingerprints.astype(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int8)
-    plans = []
-    for m in PARTS:
-        parts = group_bits(bits, m)
-        costs = []
-        for part in parts:
-            most = min(distance, 4, len(part))
-            rates = candidate_rates(bits, part, most)
-            probes = [sum(comb(len(part), k) for k in range(r + 1)) for r in range(most + 1)]
-            costs.append([0.0, *(rates[r] * rows * rows / 2 + PROBE_COST * probes[r] * rows for r in range(most + 1))])
-        radii, cost = allocate(costs, distance)
-        plans.append((cost, parts, radii))
-    _, parts, radii = min(plans, key=lambda p: p[0])
-    return parts, radii
-
 
 def fingerprint_pairs(rows: DataFrame, key: str, fingerprint: str, distance: int = DISTANCE, sample: int = SAMPLE) -> DataFrame:
     """(a, b, distance), a < b: distinct fingerprints' smallest keys within ``distance`` bits.
@@ -103,10 +22,10 @@ def fingerprint_pairs(rows: DataFrame, key: str, fingerprint: str, distance: int
     """
     nodes = rows.filter(F.coalesce(F.col(fingerprint), F.lit(0)) != 0).select(F.col(fingerprint).alias("f")).distinct()
     n = nodes.count()
-    drawn = nodes.orderBy(F.xxhash64("f"), "f").limit(sample).collect()
+    drawn = sampled(nodes, "f", sample)
     if len(drawn) < 2:
         return rows.limit(0).select(F.col(key).alias("a"), F.col(key).alias("b"), F.lit(0).alias("distance"))
-    parts, radii = learn(np.array([r[0] for r in drawn], np.int64), n, distance)
+    parts, radii, _ = learn(drawn, n, distance)
     return partition_pairs(rows, key, fingerprint, parts, radii, distance)
 
 

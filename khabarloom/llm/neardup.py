@@ -6,21 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from khabarloom.llm import runjoin
+from khabarloom.operators.groups import components, with_component
 from khabarloom.runtime import cut
 
 
-def near_duplicates(records: DataFrame, key: str = "article_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def near_duplicates(records: DataFrame, key: str = "article_id", text: str = "text", order: runjoin.RunOrder | None = None) -> tuple[DataFrame, DataFrame]:
     """Texts whose run sets overlap by at least 0.5: ``(pairs, members)``.
 
     ``members``: (key, rep) names for every text with at least one run the smallest key of its
     class; a class is the texts of one run set. ``pairs``: (a, b), a < b, both representatives.
     Within a class every pair overlaps fully. ``key`` names a text; a row that is there twice counts
     once. NULL texts count as empty; texts without a token are in no class. Rows may carry any other
-    columns, whatever their names.
+    columns, whatever their names. ``order``: an order of runs other than by their frequency here.
     """
     src = records.select(F.col(key), F.col(text).alias("_text"))
-    levels = runjoin.frequency_levels(src, "_text")
-    sets = cut(runjoin.ordered_sets(src, key, "_text", levels), "neardup-sets")
+    sets = cut(runjoin.ordered_sets(src, key, "_text", order or runjoin.run_order(src, "_text")), "neardup-sets")
     classes = sets.groupBy("hi", "lo").agg(F.min(key).alias("rep"))
     members = sets.select(key, "hi", "lo").distinct().join(classes, ["hi", "lo"]).select(key, "rep")
     reps = runjoin.one_per_class(sets, key, ["hi", "lo"])
@@ -56,15 +56,18 @@ def found(articles: DataFrame) -> DataFrame:
 
 
 def groups(articles: DataFrame) -> DataFrame:
-    """(article_id, rep, links): each article's class and how many other classes overlap it by 0.5 or more.
+    """(article_id, rep, links, story): each article's class, how many other classes overlap it by 0.5 or more, and its group.
 
-    Articles without a token are a class of their own.
+    A class is one run set, named by its smallest article; a group (``story``) is what overlaps
+    connect, directly or through others, named by its smallest article. One row per article, however
+    many copies there are. Articles without a token are a class and a group of their own.
     """
     pairs, members = near_duplicates(articles.select("article_id", runjoin.story_text().alias("text")))
+    pairs, members = cut(pairs, "group-pairs"), cut(members, "group-members")
     links = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
-    classed = members.join(links, "rep", "left").select("article_id", "rep", F.coalesce("links", F.lit(0)).alias("links"))
-    alone = articles.select("article_id").join(members.select("article_id"), "article_id", "left_anti")
-    return classed.unionByName(alone.select("article_id", F.col("article_id").alias("rep"), F.lit(0).cast("long").alias("links")))
+    classed = with_component(members.join(links, "rep", "left").select("article_id", "rep", F.coalesce("links", F.lit(0)).alias("links")), components(pairs), "rep", "story")
+    alone = articles.select("article_id").distinct().join(members.select("article_id"), "article_id", "left_anti")
+    return classed.unionByName(alone.select("article_id", F.col("article_id").alias("rep"), F.lit(0).cast("long").alias("links"), F.col("article_id").alias("story")))
 
 
 RUNS_SQL = r"""
@@ -79,14 +82,16 @@ GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)
 """
 
 GROUPS_SQL = f"""
-WITH {RUNS_SQL.format('articles')},
+WITH RECURSIVE {RUNS_SQL.format('articles')},
 keyed AS (SELECT article_id, md5(array_to_string(list_sort(r), '|')) AS k FROM sets_articles WHERE len(r) > 0),
 reps AS (SELECT k, min(article_id) AS rep FROM keyed GROUP BY 1),
 pairs AS (
   SELECT a.article_id AS a, b.article_id AS b FROM runs_articles a JOIN runs_articles b ON a.run = b.run AND a.article_id <> b.article_id
   WHERE a.article_id IN (SELECT rep FROM reps) AND b.article_id IN (SELECT rep FROM reps)
   GROUP BY 1, 2 HAVING 2 * count(*) >= max(a.n) + max(b.n) - count(*)
-), links AS (SELECT a AS rep, count(*) AS links FROM pairs GROUP BY 1)
-SELECT x.article_id, coalesce(r.rep, x.article_id) AS rep, coalesce(l.links, 0) AS links
-FROM articles x LEFT JOIN keyed USING (article_id) LEFT JOIN reps r USING (k) LEFT JOIN links l ON l.rep = r.rep
+), links AS (SELECT a AS rep, count(*) AS links FROM pairs GROUP BY 1),
+walk AS (SELECT a AS rep, a AS seen FROM pairs UNION SELECT w.rep, p.b FROM walk w JOIN pairs p ON p.a = w.seen),
+stories AS (SELECT rep, min(seen) AS story FROM walk GROUP BY 1)
+SELECT x.article_id, coalesce(r.rep, x.article_id) AS rep, coalesce(l.links, 0) AS links, coalesce(s.story, r.rep, x.article_id) AS story
+FROM articles x LEFT JOIN keyed USING (article_id) LEFT JOIN reps r USING (k) LEFT JOIN links l ON l.rep = r.rep LEFT JOIN stories s ON s.rep = r.rep
 """

@@ -11,14 +11,16 @@ at the greedy fill: rare levels are used whole, one level in part, and all other
 bits are never probed). Bits of a level are taken in hash order, the same order for all texts, so
 both sides of a join may index just the bits they probe.
 
-Frequencies come from one hashed counter array over *all* texts. Its size is fixed, which bounds
-what is broadcast; collisions in it cost speed, never pairs.
+Frequencies are counted over *all* texts. Up to a bound they are hashed counters, as many as the texts
+have runs, that are broadcast as one byte each. Beyond it the runs that occur often are counted
+exactly, and their table is joined with the texts' runs (``RunOrder``). Either way the order decides
+what a join costs, never which pairs it finds.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +30,17 @@ from pyspark.sql import functions as F
 from khabarloom.functions.runs import run_sets, set_keys
 from khabarloom.runtime import cut
 
-#: log2 of the number of frequency counters; one byte each once they are levels.
-COUNTER_BITS = 21
+#: log2 of the fewest and most frequency counters; one byte each once they are levels, so at most 16 MB are broadcast.
+COUNTER_BITS = (16, 24)
+#: Bytes of text per counter; with more than CROWDED times as many the counters no longer tell rare runs apart.
+BYTES_PER_COUNTER, CROWDED = 8, 8
+#: Runs of fewer occurrences need no place in the exact table: they are rare.
+OFTEN = 4
 #: Bits probed beyond the fewest that find every pair: each of them raises by one what a candidate must share.
 SPARE = 6
 _CHUNKS = 64
 _LEVEL_SHIFT = np.uint64(55)
+_REST = np.uint64((1 << 55) - 1)
 
 
 def story_text(title: str = "title", body: str = "body", summary: str = "summary") -> Column:
@@ -46,41 +53,79 @@ def _strings(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def frequency_levels(texts: DataFrame, text: str, width: int = 3) -> np.ndarray:
-    """Level (0 to 127, four per doubling) of each hashed run counter, over all rows of ``texts``."""
-    size, per = 1 << COUNTER_BITS, (1 << COUNTER_BITS) // _CHUNKS
-    schema = pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
+class RunOrder:
+    """The common order of runs, rare ones first: by level (0 to 127, four per doubling), then by hash.
 
-    def emit(total: np.ndarray) -> pa.RecordBatch:
-        blobs = [zlib.compress(total[c * per : (c + 1) * per].tobytes(), 1) for c in range(_CHUNKS)]
-        return pa.RecordBatch.from_arrays([pa.array(range(_CHUNKS), pa.int32()), pa.array(blobs, pa.binary())], schema=schema)
+    ``counters``: the level of each hashed counter; or ``table``: (run, level) of the runs that occur
+    often, all others being of level 0.
+    """
+
+    def __init__(self, counters: np.ndarray | None = None, table: DataFrame | None = None) -> None:
+        self.counters, self.table = counters, table
+
+
+def run_order(texts: DataFrame, text: str, width: int = 3, bits: tuple[int, int] = COUNTER_BITS) -> RunOrder:
+    """The order of all runs of ``texts``: counters sized by the texts' bytes, or the exact table where they would be crowded."""
+    size = (texts.agg(F.sum(F.octet_length(text))).first()[0] or 0) // BYTES_PER_COUNTER
+    if size > CROWDED << bits[1]:
+        return RunOrder(table=cut(frequent_runs(texts, text, width), "frequent-runs"))
+    return RunOrder(frequency_levels(texts, text, width, min(max(size.bit_length(), bits[0]), bits[1])))
+
+
+def frequent_runs(texts: DataFrame, text: str, width: int = 3) -> DataFrame:
+    """(run, level) of every run with OFTEN occurrences or more, counted exactly; combined before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.uint64)
+        for b in batches:
+            run, n = np.unique(run_sets(_strings(b.column(0)), width)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(n.astype(np.int64))], names=["run", "n"])
+
+    counts = texts.select(text).mapInArrow(count, "run bigint, n bigint").groupBy("run").agg(F.sum("n").alias("n")).filter(F.col("n") >= OFTEN)
+    return counts.select("run", F.least(F.lit(127), F.floor(4 * F.log2(F.col("n") + 1.0))).cast("long").alias("level"))
+
+
+def frequency_levels(texts: DataFrame, text: str, width: int = 3, bits: int = COUNTER_BITS[1]) -> np.ndarray:
+    """Level of each of 2 ** ``bits`` hashed run counters, over all rows of ``texts``.
+
+    Each task sends the counters it has touched; they are summed and made levels per chunk, so that
+    the driver gets one byte per counter.
+    """
+    size, per = 1 << bits, (1 << bits) // _CHUNKS
+    schema = pa.schema([("chunk", pa.int32()), ("at", pa.binary()), ("counts", pa.binary())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.uint32)
         for b in batches:
             _, run = run_sets(_strings(b.column(0)), width)
-            total += np.bincount((run & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint64)
-        if total.any():
-            yield emit(total)
+            at, n = np.unique((run & np.uint64(size - 1)).astype(np.int64), return_counts=True)
+            total[at] += n.astype(np.uint32)
+        at = np.flatnonzero(total).astype(np.uint32)
+        ends = np.searchsorted(at, np.arange(1, _CHUNKS + 1, dtype=np.int64) * per)
+        blobs = []
+        for c, (a, z) in enumerate(zip([0, *ends], ends)):
+            if z > a:
+                gaps = np.diff(at[a:z], prepend=np.uint32(c * per)).astype(np.uint32)
+                blobs.append((c, zlib.compress(gaps.tobytes(), 1), zlib.compress(total[at[a:z]].tobytes(), 1)))
+        cols = list(zip(*blobs)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, schema)], schema=schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for chunk, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                got = np.frombuffer(zlib.decompress(blob), np.uint64)
-                sums[chunk] = sums[chunk] + got if chunk in sums else got
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())], schema=schema)
+            for chunk, gaps, counts in zip(*(c.to_pylist() for c in b.columns)):
+                at = np.cumsum(np.frombuffer(zlib.decompress(gaps), np.uint32), dtype=np.int64)
+                sums.setdefault(chunk, np.zeros(per, np.uint64))[at] += np.frombuffer(zlib.decompress(counts), np.uint32)
+        levels = [zlib.compress(np.minimum(127, 4 * np.log2(1.0 + v)).astype(np.uint8).tobytes(), 1) for v in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["chunk", "levels"])
 
-    kind = "chunk int, counts binary"
-    parts = texts.select(text).mapInArrow(count, kind)
-    total = np.zeros(size, np.uint64)
-    for row in parts.repartition("chunk").mapInArrow(add, kind).collect():  # _CHUNKS rows, whatever the input
-        total[row.chunk * per : (row.chunk + 1) * per] += np.frombuffer(zlib.decompress(row.counts), np.uint64)
-    return np.minimum(127, 4 * np.log2(1.0 + total)).astype(np.uint8)
+    parts = texts.select(text).mapInArrow(count, "chunk int, at binary, counts binary")
+    out = np.zeros(size, np.uint8)
+    for row in parts.repartition("chunk").mapInArrow(add, "chunk int, levels binary").collect():  # _CHUNKS rows, whatever the input
+        out[row.chunk * per : (row.chunk + 1) * per] = np.frombuffer(zlib.decompress(row.levels), np.uint8)
+    return out
 
 
-def ordered_sets(texts: DataFrame, key: str, text: str, levels: np.ndarray, keep: list[str] | None = None, width: int = 3, whole: bool = False) -> DataFrame:
+def ordered_sets(texts: DataFrame, key: str, text: str, order: RunOrder, keep: list[str] | None = None, width: int = 3, whole: bool = False) -> DataFrame:
     """One row per text with at least one run: ``key``, the ``keep`` columns, ``hi``, ``lo``, ``n``, ``runs``.
 
     ``runs`` holds the probed bits: the n // 2 + 1 runs lowest in (level, hash), ascending; that
@@ -88,16 +133,24 @@ def ordered_sets(texts: DataFrame, key: str, text: str, levels: np.ndarray, keep
     order. ``hi``, ``lo`` name the run set.
     """
     keep = keep or []
-    shared = texts.sparkSession.sparkContext.broadcast(levels.tobytes())
-    low = np.uint64((1 << COUNTER_BITS) - 1)
-    rest = np.uint64((1 << 55) - 1)
+    if order.counters is None:
+        return _ordered_by_table(texts, key, text, order.table, keep, width, whole)
+    shared = texts.sparkSession.sparkContext.broadcast(order.counters.tobytes())
+    low = np.uint64(len(order.counters) - 1)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ranks(run: np.ndarray) -> np.ndarray:
         level = np.frombuffer(shared.value, np.uint8)
+        return (level[(run & low).astype(np.int64)].astype(np.uint64) << _LEVEL_SHIFT) | ((run >> np.uint64(9)) & _REST)
+
+    return _sets(texts, key, text, keep, width, ranks, whole)
+
+
+def _sets(texts: DataFrame, key: str, text: str, keep: list[str], width: int, ranks: Callable[[np.ndarray], np.ndarray], whole: bool) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             owner, run = run_sets(_strings(b.column(b.num_columns - 1)), width)
             hi, lo, n = set_keys(b.num_rows, owner, run)
-            rank = (level[(run & low).astype(np.int64)].astype(np.uint64) << _LEVEL_SHIFT) | ((run >> np.uint64(9)) & rest)
+            rank = ranks(run)
             order = np.lexsort((rank, owner))
             rank, owner = rank[order], owner[order]
             first = np.cumsum(n) - n
@@ -117,15 +170,26 @@ def ordered_sets(texts: DataFrame, key: str, text: str, levels: np.ndarray, keep
     return src.mapInArrow(rows, f"{head}, hi bigint, lo bigint, n int, runs array<bigint>")
 
 
-def one_per_class(sets: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def _ordered_by_table(texts: DataFrame, key: str, text: str, table: DataFrame, keep: list[str], width: int, whole: bool) -> DataFrame:
+    """``ordered_sets`` by the exact table: runs are joined with their levels and gathered again per row of ``texts``."""
+    sets = cut(_sets(texts, key, text, keep, width, lambda run: run, True).withColumn("_row", F.expr("uuid()")), "run-sets")
+    each = sets.select("_row", F.explode("runs").alias("run")).join(table.select("run", "level"), "run", "left")
+    rank = F.shiftleft(F.coalesce("level", F.lit(0).cast("long")), int(_LEVEL_SHIFT)).bitwiseOR(F.shiftright("run", 9).bitwiseAND(F.lit(int(_REST))))
+    runs = each.groupBy("_row").agg(F.sort_array(F.collect_list(rank)).alias("runs"))
+    out = sets.drop("runs").join(runs, "_row").drop("_row")
+    return out if whole else out.withColumn("runs", F.slice("runs", F.lit(1), F.floor(F.col("n") / 2).cast("int") + 1))
+
+
+def one_per_class(sets: DataFrame, key: str, columns: list[str], whole: bool = True) -> DataFrame:
     """The rows of smallest ``key`` per class, a class being equal ``columns``.
 
     The keys of all other copies are written first: where they are few, the join that drops them is
-    planned as a broadcast and no run set is shuffled.
+    planned as a broadcast and no run set is shuffled. ``whole``: for sets of a whole collection; for
+    those of a batch the job costs more than the shuffle.
     """
     several = sets.groupBy(*columns).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_c")).filter("_c > 1").drop("_c")
     copies = sets.select(key, *columns).join(several, columns).filter(F.col(key) != F.col("_first")).select(key)
-    return sets.join(cut(copies, "copies"), key, "left_anti")
+    return sets.join(cut(copies, "copies") if whole else copies, key, "left_anti")
 
 
 def postings(sets: DataFrame, *columns: str) -> DataFrame:

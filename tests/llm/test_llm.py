@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from khabarloom.llm import batches, gph, langid, leaks, looks, maintext, mixture, neardup, queries, runjoin, sitelines, truncation
+from khabarloom.operators import bitparts
 from tests.conftest import SF, rows
 from tests.oracle import connect, same
 
@@ -86,6 +87,12 @@ def test_neardup_is_exact(spark, seed):
         same_ = min(j + 1 for j in range(len(sets)) if sets[j] == s) if s else i + 1
         others = {frozenset(x) for x in sets if s and x != s and overlap(s, x)}
         assert got[i + 1][1:] == (same_, len(others))
+    links = [(a, b) for a, b in want]
+    story = {i + 1: i + 1 for i in range(len(texts))}
+    for _ in range(len(texts)):
+        for a, b in links:
+            story[a] = story[b] = min(story[a], story[b])
+    assert dict(rows(neardup.groups(df), "article_id", "story")) == story
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -106,12 +113,54 @@ def test_batches_one_by_one(spark, seed):
         else:
             held.append((s, m, h))
     assert rows(batches.found(old, new)) == sorted(refused, key=repr)
-    ledger = batches.Ledger(batches._rows(old, F.struct(F.lit(0).alias("batch_no"), "article_id")), buckets=3)
-    got = []
-    for k in range(4):
-        batch = batches._rows(new.filter(F.col("batch_no") == k), F.struct("batch_no", "article_id"))
-        got += [(r.id,) for r in ledger.add(batch).filter("not accepted").collect()]
-    assert sorted(got, key=repr) == sorted(refused, key=repr)
+    all_at_once = batches.Ledger.create(batches._rows(old, F.struct(F.lit(0).alias("batch_no"), "article_id")), buckets=3).decide(batches._rows(new, F.struct("batch_no", "article_id")))
+    assert sorted([(r.id,) for r in all_at_once.filter("not accepted").collect()], key=repr) == sorted(refused, key=repr)
+
+
+def test_ledger_is_opened_again(spark, tmp_path):
+    """Two batches in one session, the next in another, with the leavings of an append that broke off between them."""
+    rng = random.Random(11)
+    texts = edits(rng, 90)
+    data = [(*article(i + 1, body=t, title="", url_hash=f"u{rng.randrange(50)}", simhash=rng.choice([1, 3, 7])), i // 30) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(data, ARTICLE + ", batch_no int")
+    part = lambda s, k: batches._rows(s.createDataFrame(data, ARTICLE + ", batch_no int").filter(F.col("batch_no") == k), F.col("article_id"))
+    path = f"file://{tmp_path}/ledger"
+    first = batches.Ledger.create(part(spark, 0), path, buckets=3, span=16)
+    got = [r.id for r in first.add(part(spark, 1)).filter("not accepted").collect()]
+    rest = part(spark, 2)
+    first._append(rest, first._sets(rest))
+    fs, at = first._folder("commits/2")
+    fs.delete(at, True)  # the append was not committed
+    other = spark.newSession()
+    for table in batches._TABLES:
+        spark.sql(f"DROP TABLE {first.name}_{table}")  # another session's catalog knows nothing
+    again = batches.Ledger(other, path)
+    assert (again.appended, again.buckets, again.span) == (2, 3, 16)
+    got += [r.id for r in again.add(part(other, 2)).filter("not accepted").collect()]
+    want = rows(batches.found(df.filter("batch_no = 0").drop("batch_no"), df.filter("batch_no > 0")))
+    assert want and sorted((i,) for i in got) == sorted(want)
+
+
+def test_exact_order_of_runs(spark):
+    """Beyond the counters' bound the exact table orders runs, and finds the same pairs."""
+    rng = random.Random(5)
+    texts = edits(rng, 120)
+    df = spark.createDataFrame([article(i + 1, body=t, title="") for i, t in enumerate(texts)], ARTICLE)
+    src = df.select("article_id", runjoin.story_text().alias("text"))
+    order = runjoin.run_order(src, "text", bits=(3, 3))
+    assert order.counters is None and order.table.count() > 0
+    counted = {r.run: r.level for r in order.table.collect()}
+    n = {}
+    from khabarloom.functions.runs import run_sets
+    import numpy as np
+
+    for x in run_sets(texts)[1].view(np.int64).tolist():
+        n[x] = n.get(x, 0) + 1
+    assert counted == {x: int(4 * np.log2(k + 1)) for x, k in n.items() if k >= runjoin.OFTEN}
+    pairs, members = neardup.near_duplicates(src, order=order)
+    assert rows(neardup.all_pairs(pairs, members), "a", "b") == rows(neardup.found(df), "article_a", "article_b")
+    ordered = runjoin.ordered_sets(src, "article_id", "text", order, whole=True)
+    assert ordered.filter("size(runs) != n or runs != array_sort(runs)").count() == 0
 
 
 def test_gph(spark):
@@ -127,9 +176,9 @@ def test_gph(spark):
     assert gph.fingerprint_pairs(df.limit(0), "id", "f").count() == 0
     bits = np.array([[(x >> k) & 1 for k in range(64)] for x in data], np.int8)
     bits[:, 5] = bits[:, 60]
-    assert any({5, 60} <= set(p) for p in gph.group_bits(bits, 4))
+    assert any({5, 60} <= set(p) for p in bitparts.group_bits(bits, 4))
     costs = [[0, 5, 50, 500, 5000], [0, 1, 2, 3, 4], [0, 9, 90, 900, 9000]]
-    radii, cost = gph.allocate(costs, 5)
+    radii, cost = bitparts.allocate(costs, 5)
     from itertools import product
 
     assert cost == min(sum(c[t] for c, t in zip(costs, ts)) for ts in product(range(5), repeat=3) if sum(ts) >= 6)
