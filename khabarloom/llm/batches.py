@@ -68,15 +68,13 @@ class Ledger:
     id are one row. Further columns are ignored.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        """Open the ledger in the folder ``path``."""
+    def __init__(self, spark: SparkSession, path: str, runs: runjoin.RunOrder | None = None) -> None:
+        """Open the ledger in the folder ``path``; ``runs``: its order of runs, if it is at hand."""
         self.spark, self.path = spark, path
         told = spark.read.parquet(f"{path}/about").first()
         self.buckets, self.span = told.buckets, told.span
-        if told.counters is None:
-            self.runs = runjoin.RunOrder(table=spark.read.parquet(f"{path}/order"))
-        else:
-            self.runs = runjoin.RunOrder(np.frombuffer(bytes(told.counters), np.uint8))
+        kept = spark.read.parquet(f"{path}/order")
+        self.runs = runs or runjoin.RunOrder(*((np.frombuffer(bytes(kept.first()[0]), np.uint8), None) if told.counters else (None, kept)))
         self.name = "ledger_" + hashlib.md5(path.encode()).hexdigest()[:16]
         for table, (column, columns) in _TABLES.items():
             spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name}_{table} ({columns}, batch INT) USING parquet PARTITIONED BY (batch) CLUSTERED BY ({column}) SORTED BY ({column}) INTO {self.buckets} BUCKETS LOCATION '{path}/{table}'")
@@ -95,11 +93,10 @@ class Ledger:
         buckets = buckets or max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
         span = span or 1 << max(10, (RANGE_BYTES * (told.n or 1) // max(1, size)).bit_length() - 1)
         order = runjoin.run_order(history, "text")
-        counters = None if order.counters is None else bytearray(order.counters.tobytes())
-        if order.table is not None:
-            order.table.write.parquet(f"{path}/order")
-        spark.createDataFrame([(buckets, span, counters)], "buckets int, span bigint, counters binary").coalesce(1).write.parquet(f"{path}/about")
-        ledger = cls(spark, path)
+        runjoin.stored_order(spark, order).write.parquet(f"{path}/order")
+        about = F.lit(buckets).cast("int").alias("buckets"), F.lit(span).cast("long").alias("span"), F.lit(order.counters is not None).alias("counters")
+        spark.range(1).select(*about).write.parquet(f"{path}/about")
+        ledger = cls(spark, path, order)
         ledger._append(history, ledger._sets(history))
         return ledger
 

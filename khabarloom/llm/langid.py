@@ -23,8 +23,8 @@ from khabarloom.runtime import cut
 LANGS = ("en", "hi", "ne")
 # The scripts each language is written in (l Latin, d Devanagari).
 SCRIPTS = {"en": "l", "hi": "d", "ne": "dl"}
-#: Labelled records per language the model is fitted on (the sample's bound), lines in each, hashed features.
-SAMPLE = 1500
+#: Bounds of the sample the model is fitted on: labelled records per language, lines of each, characters of each line; hashed features.
+SAMPLE, SAMPLE_LINES, SAMPLE_CHARS = 1500, 100, 1000
 _FEATURES = 1 << 16
 _ROUNDS = 12
 #: Lines of fewer characters after trimming are not reported by ``found``, do not count for a host, and mix no document that has longer ones.
@@ -91,9 +91,11 @@ def fit(lines: list[tuple[str, int]], shares: dict[str, float] | None = None) ->
 
     ``shares``: how often each label occurs among all records; the sample is weighted back to them.
     Lines that differ only in digits and spaces are one line with the label of most weight. Starts
-    from the labels (one whose language is not written in the line's script says nothing) and refits
+    from the labels (a line that mostly has labels whose language is not written in its script has
+    none to begin with) and refits
     on the lines' own best language: wrong labels, and paragraphs in another language, are outvoted
-    by the lines that are labelled right.
+    by the lines that are labelled right. Each line is judged by the others alone, its own counts taken
+    out, or words that stand nowhere else would hold it to its first label.
     """
     drawn = np.bincount([y for _, y in lines], minlength=len(LANGS)) if lines else np.zeros(len(LANGS))
     weight = [(shares or {}).get(x, 1.0) / max(1, n) for x, n in zip(LANGS, drawn)]
@@ -105,18 +107,27 @@ def fit(lines: list[tuple[str, int]], shares: dict[str, float] | None = None) ->
     scored = [(*features(t), v) for t, v in votes.items()]
     for script in "ld":
         can = np.array([script in SCRIPTS[x] for x in LANGS])
-        mine = [(ids, v * can) for ids, at, v in scored if at == script and ids and (v * can).any()]
-        if not mine:
+        mine = [(ids, v * can if (v * can).max() * 2 >= v.sum() else v * 0) for ids, at, v in scored if at == script and ids]
+        if not any(v.any() for _, v in mine):
             continue
         sizes = np.array([len(ids) for ids, _ in mine])
         flat = np.concatenate([np.array(ids, np.int64) for ids, _ in mine])
         firsts = np.cumsum(sizes) - sizes
-        own = np.array([v.argmax() for _, v in mine])
+        line = np.repeat(np.arange(len(sizes)), sizes)
+        _, at, times = np.unique(line * _FEATURES + flat, return_inverse=True, return_counts=True)
+        mine_only = times[at]  # how often the feature stands in the line itself
+        own = np.array([v.argmax() if v.any() else -1 for _, v in mine])
         for _ in range(_ROUNDS):
-            counts = np.bincount(np.repeat(own, sizes) * _FEATURES + flat, minlength=len(LANGS) * _FEATURES).reshape(len(LANGS), _FEATURES) + 0.02
+            y = own[line]
+            told = np.flatnonzero(y >= 0)
+            counts = np.bincount(y[told] * _FEATURES + flat[told], minlength=len(LANGS) * _FEATURES).reshape(len(LANGS), _FEATURES) + 0.02
             model.weights[script] = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
-            prior = np.log((np.bincount(own, minlength=len(LANGS)) + 1.0) / len(own))
-            ll = np.add.reduceat(model.weights[script][:, flat], firsts, axis=1) * _TEMPER
+            prior = np.log((np.bincount(own[own >= 0], minlength=len(LANGS)) + 1.0) / len(own))
+            each = model.weights[script][:, flat]
+            # a line has no say in its own language: words of its own would keep it where it began
+            rest = np.maximum(counts[y[told], flat[told]] - mine_only[told], 0.02) / (counts.sum(axis=1)[y[told]] - sizes[line[told]])
+            each[y[told], told] = np.log(rest)
+            ll = np.add.reduceat(each, firsts, axis=1) * _TEMPER
             best = (ll + (prior + model.foreign[script])[:, None]).argmax(axis=0)
             if (best == own).all():
                 break
@@ -132,8 +143,10 @@ def sample_lines(records: DataFrame, key: str, body: str, lang: str, per_languag
     for name, n in counts.items():
         share = F.when(F.col("_told") == name, min(1.0, per_language / n)).otherwise(share)
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(7), key), 11).cast("double") / float(1 << 53)
-    rows = told.filter(unit < share).select("_told", body).limit(2 * per_language * len(LANGS)).collect()
-    lines = [(t.strip(), LANGS.index(r[0])) for r in rows for t in r[1].split("\n") if len(t.strip()) >= LEAST_CHARS]
+    some = F.slice(F.filter(F.split(body, "\n", -1), lambda t: F.char_length(F.trim(t)) >= LEAST_CHARS), 1, SAMPLE_LINES)
+    short = F.transform(some, lambda t: F.substring(t, 1, SAMPLE_CHARS))
+    rows = told.filter(unit < share).select("_told", short.alias("lines")).limit(2 * per_language * len(LANGS)).collect()
+    lines = [(t.strip(), LANGS.index(r[0])) for r in rows for t in r[1] if len(t.strip()) >= LEAST_CHARS]
     return lines, {x: n / sum(counts.values()) for x, n in counts.items()}
 
 
@@ -214,6 +227,23 @@ def line_languages(records: DataFrame, key: str = "article_id", body: str = "bod
     return done.select(F.col("key").alias(key), "line_no", "chars", "told", F.element_at(names, _best(F.col("post")) + 1).alias("lang"), (1 / weight).alias("confidence"))
 
 
+def text_languages(texts: DataFrame, records: DataFrame, key: str = "item_id", text: str = "text", record_key: str = "article_id", body: str = "body", lang: str = "lang") -> DataFrame:
+    """(key, lang): the language of texts that have neither label nor host, by the model that ``records`` give.
+
+    A NULL text, or one without a word, has lang NULL.
+    """
+    shared = records.sparkSession.sparkContext.broadcast(fit(*sample_lines(records, record_key, body, lang)).weights)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(shared.value)
+        for b in batches:
+            scores = [model.score(t or "") for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([LANGS[int(s.argmax())] if s.any() else None for s in scores], pa.string())], names=[key, "lang"])
+
+    src = texts.select(key, text)
+    return src.mapInArrow(rows, f"`{key}` {src.schema[0].dataType.simpleString()}, lang string")
+
+
 def document_languages(lines: DataFrame, key: str = "article_id") -> DataFrame:
     """(key, lang, confidence, mixed): the language of most characters, its share of them, and whether others occur.
 

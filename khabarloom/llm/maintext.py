@@ -144,13 +144,17 @@ def _role(line: str, form: str, after: str) -> str:
 
 
 def page_blocks(pages: DataFrame, keys: list[str], host: str, body: str) -> DataFrame:
-    """(keys, _host, _page, line_no, _path, _role, _end): every block; ``_page`` names the body, ``_end`` is the form of a page's last block if it may be a cut line."""
+    """(keys, _host, _page, line_no, _path, _role, _end, _form): every block.
+
+    ``_page`` names the body, ``_end`` is the form of a page's last block if it may be a cut line,
+    ``_form`` the form of a block whose path is only its hash.
+    """
     src = pages.filter(F.coalesce(F.col(body), F.lit("")) != "").select(*keys, F.col(host).alias("_host"), F.col(body).alias("_body"))
     k = len(keys) + 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            place, names, lines, paths, roles, ends = [], [], [], [], [], []
+            place, names, lines, paths, roles, ends, forms = [], [], [], [], [], [], []
             for r, text in enumerate(b.column(k).to_pylist()):
                 blocks = _blocks(text)
                 names += [_page(text)] * len(blocks)
@@ -161,13 +165,14 @@ def page_blocks(pages: DataFrame, keys: list[str], host: str, body: str) -> Data
                     paths.append(_path(form))
                     roles.append(_role(line, form, after))
                     ends.append(None)
-                if blocks and _LEAST_END <= len(form) <= _LONGEST_FORM and not BYLINE.match(form):
+                    forms.append(form if paths[-1] != form else None)
+                if blocks and len(form) >= _LEAST_END and not BYLINE.match(form):
                     ends[-1] = form
-            cols = [*(c.take(pa.array(place, pa.int32())) for c in b.columns[:k]), pa.array(names, pa.int64()), pa.array(lines, pa.int32()), pa.array(paths, pa.string()), pa.array(roles, pa.string()), pa.array(ends, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keys, "_host", "_page", "line_no", "_path", "_role", "_end"])
+            cols = [*(c.take(pa.array(place, pa.int32())) for c in b.columns[:k]), pa.array(names, pa.int64()), pa.array(lines, pa.int32()), pa.array(paths, pa.string()), pa.array(roles, pa.string()), pa.array(ends, pa.string()), pa.array(forms, pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*keys, "_host", "_page", "line_no", "_path", "_role", "_end", "_form"])
 
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:k])
-    return src.mapInArrow(rows, f"{head}, _page bigint, line_no int, _path string, _role string, _end string")
+    return src.mapInArrow(rows, f"{head}, _page bigint, line_no int, _path string, _role string, _end string, _form string")
 
 
 def furniture_lines(pages: DataFrame, paths: DataFrame, keys: list[str], host: str = "host", body: str = "body") -> DataFrame:
@@ -181,11 +186,15 @@ def furniture_lines(pages: DataFrame, paths: DataFrame, keys: list[str], host: s
     same = F.col("_host").eqNullSafe(F.col("_h"))
     blocks = cut(page_blocks(pages, keys, host, body), "page-blocks")
     ends, rest = blocks.filter(F.col("_end").isNotNull()), blocks.filter(F.col("_end").isNull())
-    start = F.substring("_end", 1, _LEAST_END) == F.substring("_p", 1, _LEAST_END)
-    begun = ends.select("_host", "_end").distinct().join(won.filter(F.length("_p") >= _LEAST_END), same & start & F.col("_p").startswith(F.col("_end")), "left_semi")
+    # winning paths as texts: those that are hashes take the form of a block that has them
+    hashed = won.filter(F.col("_p").startswith("#")).select("_h", "_p").distinct()
+    long_ = blocks.filter(F.col("_form").isNotNull()).select("_path", "_form").join(hashed.select("_p").distinct(), F.col("_path") == F.col("_p"), "left_semi").groupBy("_path").agg(F.min("_form").alias("_t"))
+    texts = won.select("_h", F.col("_p").alias("_t")).unionByName(hashed.join(long_, F.col("_p") == F.col("_path")).select("_h", "_t"))
+    start = F.substring("_end", 1, _LEAST_END) == F.substring("_t", 1, _LEAST_END)
+    begun = ends.select("_host", "_end").distinct().join(texts.filter(F.length("_t") >= _LEAST_END), same & start & F.col("_t").startswith(F.col("_end")), "left_semi")
     begun = begun.select(F.col("_host").alias("_h"), F.col("_end").alias("_e"), F.lit(True).alias("_cut"))
     ends = ends.join(begun, same & (F.col("_end") == F.col("_e")), "left").drop("_h", "_e")
-    blocks = ends.unionByName(rest.withColumn("_cut", F.lit(None).cast("boolean"))).drop("_end").join(won, same & (F.col("_path") == F.col("_p")), "left")
+    blocks = ends.unionByName(rest.withColumn("_cut", F.lit(None).cast("boolean"))).drop("_end", "_form").join(won, same & (F.col("_path") == F.col("_p")), "left")
     sets = F.when(F.col("opener").isNotNull(), F.col("opener")).when(F.col("_role") == "b", F.lit(False))
     before = Window.partitionBy(*keys, "_page").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     opened = F.coalesce(F.last(sets, ignorenulls=True).over(before), F.lit(False))

@@ -1,7 +1,7 @@
 """Problem 9: a mix of sources with target shares of the total size in tokens.
 
-The total is the largest one at which no source is used more than its allowed number of times. A
-source gives whole passes over its documents, and for the rest of its budget the documents whose
+The total is given, or the largest one at which no source is used more than its allowed number of
+times. A source gives whole passes over its documents, and for the rest of its budget the documents whose
 hash lies under a threshold. Thresholds come from histograms of tokens by source and hash bucket:
 each level cuts only the bucket in which the budget ends into 1,024 smaller ones, so documents are
 never sorted. Documents under a smaller budget's threshold are under a larger one's: mixes nest.
@@ -81,7 +81,7 @@ def _under(rows: DataFrame, room: DataFrame) -> DataFrame:
     return out
 
 
-def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", tokenizer: str = DEFAULT_TOKENIZER, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", tokenizer: str = DEFAULT_TOKENIZER, seed: int = 0, total: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(chosen, report)``.
 
     ``chosen``: (key, source, tokens, copies) for every document used, copies >= 1. ``report``: one row
@@ -89,7 +89,9 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", source: s
 
     ``targets``: source, target_share, max_repeats; unlisted sources give nothing. A listed source
     without a token reaches share 0 and does not limit the others, which then share the total in
-    proportion to their targets. Shares of NULL or 0, and max_repeats of NULL or 0, give nothing.
+    proportion to their targets. ``total``: the size asked for, in tokens; a source that cannot give
+    its share of it gives all it may, falls short, and the report says so. Without it the size is the
+    largest at which none falls short. Shares of NULL or 0, and max_repeats of NULL or 0, give nothing.
     Documents with a NULL source are in no source; empty texts are never chosen.
     """
     want = targets.select(F.col("source"), "target_share", "max_repeats").filter("source is not null")
@@ -97,7 +99,7 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", source: s
     sized = cut(token_counts(listed, ["key", "source"], "text", tokenizer).filter("tokens > 0"), "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("tokens").alias("size"))
     able = want.join(sizes, "source").filter("target_share > 0 and max_repeats > 0")
-    total = able.agg(F.min(F.col("size") * F.col("max_repeats") / F.col("target_share"))).first()[0] or 0.0
+    total = float(total) if total is not None else able.agg(F.min(F.col("size") * F.col("max_repeats") / F.col("target_share"))).first()[0] or 0.0
     plan = able.withColumn("budget", F.least(F.floor(F.lit(total) * F.col("target_share")), F.col("size") * F.col("max_repeats")))
     plan = plan.withColumn("whole", F.floor(F.col("budget") / F.col("size"))).withColumn("room", F.col("budget") - F.col("whole") * F.col("size"))
     plan = cut(plan, "mix-plan")

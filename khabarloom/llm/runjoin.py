@@ -24,16 +24,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from khabarloom.functions.runs import run_sets, set_keys
 from khabarloom.runtime import cut
 
-#: log2 of the fewest and most frequency counters; one byte each once they are levels, so at most 16 MB are broadcast.
-COUNTER_BITS = (16, 24)
+#: log2 of the fewest and most frequency counters; one byte each once they are levels, so at most 4 MB are broadcast.
+COUNTER_BITS = (16, 22)
 #: Bytes of text per counter; with more than CROWDED times as many the counters no longer tell rare runs apart.
-BYTES_PER_COUNTER, CROWDED = 8, 8
+BYTES_PER_COUNTER, CROWDED = 8, 16
 #: Runs of fewer occurrences need no place in the exact table: they are rare.
 OFTEN = 4
 #: Bits probed beyond the fewest that find every pair: each of them raises by one what a candidate must share.
@@ -64,6 +64,20 @@ class RunOrder:
         self.counters, self.table = counters, table
 
 
+def stored_order(spark: SparkSession, order: RunOrder) -> DataFrame:
+    """The order as a table: its own, or one row of counters, which a worker writes from their broadcast."""
+    if order.table is not None:
+        return order.table
+    shared = spark.sparkContext.broadcast(order.counters.tobytes())
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([shared.value], pa.binary())], names=["counters"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(one, "counters binary")
+
+
 def run_order(texts: DataFrame, text: str, width: int = 3, bits: tuple[int, int] = COUNTER_BITS) -> RunOrder:
     """The order of all runs of ``texts``: counters sized by the texts' bytes, or the exact table where they would be crowded."""
     size = (texts.agg(F.sum(F.octet_length(text))).first()[0] or 0) // BYTES_PER_COUNTER

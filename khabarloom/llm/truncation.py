@@ -180,6 +180,18 @@ def limits(values: DataFrame) -> DataFrame:
     return piled.select("source", "field", F.col("chars").alias("limit"))
 
 
+def trie_nodes(words: DataFrame, asked: DataFrame) -> DataFrame:
+    """(node): the proper prefixes of ``words`` that some token of ``asked`` can be: the trie's levels that are asked for.
+
+    A level is a length. Lengths of tokens are few (n of them take n squared characters of text), so
+    a word of any length has few nodes.
+    """
+    levels = sorted(r[0] for r in asked.select(F.char_length("token")).distinct().collect() if r[0])
+    here = F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda n: n < F.char_length("word"))
+    each = words.select("word", F.explode(here).alias("n"))
+    return each.select(F.expr("substring(word, 1, n)").alias("node")).distinct()
+
+
 def cut_values(records: DataFrame, key: str = "article_id", source: str = "source_id", title: str = "title", body: str = "body", summary: str = "summary") -> DataFrame:
     """(key, source, field): every value that was cut off. NULL, empty and blank values are not cut."""
     values = cut(evidence(records, key, source, body, summary), "cut-evidence")
@@ -187,9 +199,8 @@ def cut_values(records: DataFrame, key: str = "article_id", source: str = "sourc
     words = every.filter(F.col("n") >= KNOWN)
     endings = every.groupBy(F.substring("word", -3, 3).alias("ending")).agg(F.sum("n").alias("en"), F.sum("ends").alias("ee"))
     open_ = values.filter(F.col("verdict").isin("ask", "text"))
-    # the trie: a node for every proper prefix of a known word
-    nodes = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("word") - 1, F.lit(1))), lambda i: F.substring("word", F.lit(1), i))).alias("node")).distinct()
     asked = open_.select("token").distinct()
+    nodes = trie_nodes(words, asked)
     known = asked.join(words.withColumnRenamed("word", "token"), "token", "left")
     known = known.join(nodes.select(F.col("node").alias("token"), F.lit(True).alias("inside")), "token", "left")
     known = known.join(endings, F.substring("token", -3, 3) == F.col("ending"), "left")
