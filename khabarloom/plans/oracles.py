@@ -72,6 +72,61 @@ _STATE = """
     CASE WHEN l.id IS NULL THEN s.last_error WHEN NOT l.ok THEN substr(l.error, 1, 2000) END AS last_error
   FROM source_state s LEFT JOIN last l ON l.source_id = s.id LEFT JOIN waits w ON w.source_id = s.id LEFT JOIN tags t ON t.source_id = s.id"""
 
+_DATES = r"""
+WITH items AS (
+  SELECT i.ordinal, i.fetched_at, z.zone,
+    trim(regexp_replace(regexp_replace(regexp_replace(translate(i.published, '०१२३४५६७८९', '0123456789'), '(?i)\b(mon|tue|wed|thu|fri|sat|sun)(day|sday|nesday|rsday|urday)?,', ' '),
+      '(आइत|सोम|मंगल|मङ्गल|बुध|बिहि|बिही|शुक्र|शनि)(बार|वार)', ' ', 'g'), '[\s,]+', ' ', 'g')) AS t
+  FROM raw_items i LEFT JOIN source_zones z USING (source_id)
+), split AS (
+  SELECT *, regexp_extract(t, '^([^ :T]+(?: ?[^ :T0-9]+)?(?: [^ :]+)*?)(?:[T ]+\d{1,2}:|$)', 1) AS d,
+    regexp_extract(t, '(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)? ?([aApP][mM])? ?([A-Za-z]{1,5}|[+-]\d{2}:?\d{2})?$', ['h', 'mi', 's', 'ap', 'z']) AS c,
+    regexp_matches(t, '^\d{10}(\d{3})?$') AS epoch
+  FROM items
+), dated AS (
+  SELECT *, lower(trim(regexp_extract(d, '([^\d ./-]+)', 1))) AS name,
+    CASE WHEN regexp_matches(d, '^\d{4}[-/]\d{2}[-/]\d{2}$') THEN [d[1:4], d[6:7], d[9:10]]
+      WHEN regexp_matches(d, '^\d{1,2} ?[^\d ]+ \d{4}$') THEN [regexp_extract(d, '(\d{4})$', 1), '0', regexp_extract(d, '^(\d{1,2})', 1)]
+      WHEN regexp_matches(d, '^[^\d ]+ ?\d{1,2} \d{4}$') THEN [regexp_extract(d, '(\d{4})$', 1), '0', regexp_extract(d, '^[^\d]+(\d{1,2})', 1)]
+      WHEN regexp_matches(d, '^\d{4} ?[^\d ]+ \d{1,2}$') THEN [d[1:4], '0', regexp_extract(d, '(\d{1,2})$', 1)] END AS p
+  FROM split
+), named AS (
+  SELECT *, CAST(p[1] AS INTEGER) AS y, CAST(p[3] AS INTEGER) AS day,
+    CASE WHEN name = '' THEN NULL WHEN regexp_matches(name, '^(बैशाख|वैशाख|bai|vai)') THEN 1 WHEN regexp_matches(name, '^(जेठ|जेष्ठ|ज्येष्ठ|jes|jet|jye)') THEN 2
+      WHEN regexp_matches(name, '^(असार|आषाढ|अषाढ|asar|ash?ad)') THEN 3 WHEN regexp_matches(name, '^(साउन|श्रावण|सावन|shr|sau|saw)') THEN 4 WHEN regexp_matches(name, '^(भदौ|भाद्र|bha)') THEN 5
+      WHEN regexp_matches(name, '^(असोज|आश्विन|अश्विन|ash?oj|ash?w)') THEN 6 WHEN regexp_matches(name, '^(कात्तिक|कार्तिक|kar|kat)') THEN 7 WHEN regexp_matches(name, '^(मंसिर|मङ्सिर|मार्ग|man)') THEN 8
+      WHEN regexp_matches(name, '^(पुस|पुष|पौष|pus|pou|pau)') THEN 9 WHEN regexp_matches(name, '^(माघ|mag)') THEN 10 WHEN regexp_matches(name, '^(फागुन|फाल्गुन|pha|fal|fag)') THEN 11
+      WHEN regexp_matches(name, '^(चैत|chai)') THEN 12 END AS bs_name,
+    list_position(['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'], name[1:3]) AS month_name
+  FROM dated
+), days AS (
+  SELECT n.*, n.bs_name IS NOT NULL OR (n.name = '' AND n.y > 2060) AS bs,
+    CASE WHEN n.bs_name IS NOT NULL OR (n.name = '' AND n.y > 2060) THEN CASE WHEN n.day BETWEEN 1 AND b.days THEN CAST(b.first_day AS DATE) + (n.day - 1) END
+      WHEN n.name = '' THEN TRY_CAST(p[1] || '-' || p[2] || '-' || p[3] AS DATE)
+      ELSE TRY_CAST(p[1] || '-' || lpad(CAST(n.month_name AS VARCHAR), 2, '0') || '-' || lpad(p[3], 2, '0') AS DATE) END AS g
+  FROM named n LEFT JOIN bs_months b ON b.bs_year = n.y AND b.bs_month = coalesce(n.bs_name, CASE WHEN n.name = '' THEN CAST(p[2] AS INTEGER) END)
+), clocks AS (
+  SELECT *, coalesce(TRY_CAST(nullif(c.h, '') AS INTEGER), 0) AS h0, coalesce(TRY_CAST(nullif(c.mi, '') AS INTEGER), 0) AS mi, coalesce(TRY_CAST(nullif(c.s, '') AS INTEGER), 0) AS s,
+    lower(c.ap) AS ap, upper(c.z) AS zn, (c.h = '' AND d <> t) AS odd FROM days
+), local AS (
+  SELECT *, CASE WHEN g IS NULL OR odd OR mi > 59 OR s > 59 OR h0 > 23 OR (ap <> '' AND h0 NOT BETWEEN 1 AND 12) THEN NULL
+    ELSE CAST(g AS TIMESTAMP) + to_seconds((CASE WHEN ap = '' THEN h0 ELSE h0 % 12 + CASE WHEN ap = 'pm' THEN 12 ELSE 0 END END) * 3600 + mi * 60 + s) END AS wall
+  FROM clocks
+), zoned AS (
+  SELECT l.*, CASE WHEN zn = 'Z' THEN 0 WHEN regexp_matches(zn, '^[+-]') THEN (CASE WHEN zn[1] = '-' THEN -1 ELSE 1 END) * (CAST(zn[2:3] AS INTEGER) * 60 + CAST(zn[-2:] AS INTEGER))
+    WHEN zn <> '' THEN a.utc_offset_min WHEN bs THEN 345 END AS off, wall AT TIME ZONE zone AS own
+  FROM local l LEFT JOIN zone_names a ON upper(a.abbr) = l.zn
+), instants AS (
+  SELECT ordinal, fetched_at, CASE WHEN epoch THEN CAST(t[1:10] AS BIGINT) WHEN off IS NOT NULL THEN epoch_us(wall) // 1000000 - off * 60 WHEN zn <> '' THEN NULL
+    WHEN (own - INTERVAL 1 HOUR) AT TIME ZONE zone = wall THEN epoch_us(own) // 1000000 - 3600 ELSE epoch_us(own) // 1000000 END AS sec
+  FROM zoned
+), good AS (SELECT ordinal, sec FROM instants WHERE sec >= 946684800 AND sec * 1000000 <= epoch_us(fetched_at) // 1000000 * 1000000 + 3600000000)
+SELECT 'raw_items' AS rec, ordinal AS rec_id, sec AS published_s FROM good
+UNION ALL
+SELECT 'articles', a.article_id, coalesce(g.sec, epoch_us(a.fetched_at) // 1000000) FROM articles a LEFT JOIN good g ON g.ordinal = a.item_ordinal
+WHERE epoch_us(a.published_at) // 1000000 <> coalesce(g.sec, epoch_us(a.fetched_at) // 1000000) OR a.published_estimated <> (g.sec IS NULL)
+"""
+
 _STORIES = """
 v AS (SELECT e.vec_id, e.embedding::DOUBLE[] AS x, d.published_at AS at FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id + 1),
 pairs AS (
@@ -85,6 +140,7 @@ pairs AS (
 _LINES = r"""list_transform(string_split({0}, chr(10)), lambda x: trim(regexp_replace(nfc_normalize(regexp_replace(x, '<[^>]+>', ' ', 'g')), '[ \t\x{{00A0}}\x{{200B}}\x{{200C}}\x{{200D}}]+', ' ', 'g')))"""
 
 ORACLES: dict[str, str] = {
+    "p3_found": _DATES,
     "a5_source_report": """
       SELECT source_id, count(*) AS articles, max(epoch_us(published_at)) // 1000000 AS newest_s FROM (
         SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY article_id) AS r FROM articles) WHERE r = 1 GROUP BY 1""",
