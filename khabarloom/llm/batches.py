@@ -247,6 +247,13 @@ class Ledger:
         self._append(batch.join(taken, "id", "left_semi"), sets.join(taken, "id", "left_semi"))
         return verdict
 
+    def remove(self) -> None:
+        """Delete the ledger; decisions it has given stay."""
+        for table in _TABLES:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{table}")
+        fs, at = self._folder("about")
+        fs.delete(at.getParent(), True)
+
 
 def _rows(df: DataFrame, order: Column) -> DataFrame:
     return df.select(F.col("article_id").alias("id"), order.alias("order"), "url_hash", "simhash", runjoin.story_text().alias("text"))
@@ -257,6 +264,7 @@ def found(articles: DataFrame, incoming: DataFrame) -> DataFrame:
     ledger = Ledger.create(_rows(articles, F.col("article_id")))
     numbers = sorted((r[0] for r in incoming.select("batch_no").distinct().collect()), key=lambda n: (n is not None, n))
     refused = [_refused(ledger.add(_rows(incoming.filter(F.col("batch_no").eqNullSafe(F.lit(n))), F.col("article_id")))) for n in numbers]
+    ledger.remove()
     return reduce(DataFrame.unionByName, refused) if refused else incoming.select("article_id").limit(0)
 
 

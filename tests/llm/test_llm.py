@@ -139,6 +139,8 @@ def test_ledger_is_opened_again(spark, tmp_path):
     got += [r.id for r in again.add(part(other, 2)).filter("not accepted").collect()]
     want = rows(batches.found(df.filter("batch_no = 0").drop("batch_no"), df.filter("batch_no > 0")))
     assert want and sorted((i,) for i in got) == sorted(want)
+    again.remove()
+    assert not (tmp_path / "ledger").exists() and not other.catalog.tableExists(f"{again.name}_urls")
 
 
 def test_exact_order_of_runs(spark):
