@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Fingerprints the partition is learned on (the sample's bound), and the parts it may have.
-SAMPLE = 4000
+SAMPLE = 2000
 PARTS = (3, 4, 5, 6)
 #: Cost of one probe against that of one candidate.
 PROBE_COST = 1.0
