@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import TypeVar
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ DISTANCE = 8
 BUCKET_BYTES, LEAST_BUCKETS, RANGE_BYTES = 64 << 20, 8, 32 << 20
 #: Ranges of ids that are looked up by their own bounds; more are read whole.
 _BOUNDS = 64
+#: Stored bytes of a batch (run sets, or keys) and of its candidates up to which all but its meeting with the
+#: history is done in one task: many small shuffles cost more than the work, and each of them driver memory.
+ONE_TASK_BYTES, FEW_BYTES = 32 << 20, 1 << 20
+#: Stored bytes of a batch per bucket up to which its probes are hashed there, so that the history's are not sorted.
+HASHED_BYTES = 8 << 20
 #: Columns in which texts of one class agree: run set and fingerprint.
 _CLASS = ["hi", "lo", "simhash"]
 _SETS = "id bigint, simhash bigint, hi bigint, lo bigint, n int, runs array<bigint>, batch int, span bigint"
@@ -43,6 +50,95 @@ def _close(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
 
 
+def _bytes(stored: DataFrame) -> int:
+    """Bytes of the files that ``stored`` is read from."""
+    return stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The decisions on a small batch: its run sets (kind 0), what it met (1), run sets of the history (2), then its rows by ``order`` (3).
+
+    An accepted id leaves its addresses (strings) and classes (numbers) behind; ids of one order do
+    not see each other. Accepted ids carry their run set, ``first`` if no smaller one of its class does.
+    """
+    sets, keys, classes = {}, {}, defaultdict(set)  # run set and class key by id, least id and ids by class key
+    least, met, near, known, hit = {}, defaultdict(list), defaultdict(set), set(), set()
+    held, waiting, last, ids, told = set(), [], None, [], None
+
+    def close(a: int, b: int, runs: np.ndarray, old: bool) -> None:
+        mine = sets[a][1]
+        if 3 * len(np.intersect1d(mine, runs, assume_unique=True)) >= len(mine) + len(runs):
+            if old:
+                hit.add(keys[a])
+            else:
+                near[keys[a]].add(keys[b])
+                near[keys[b]].add(keys[a])
+
+    for batch in batches:
+        kind = batch.column("kind").to_numpy()
+        for k, part in ((k, batch.filter(pa.array(kind == k))) for k in np.unique(kind)):
+            c = {name: part.column(name) for name in part.schema.names}
+            if k == 3:
+                ids += zip(c["id"].to_pylist(), c["order"].to_pylist(), c["url_hash"].to_pylist())
+                continue
+            if k == 1:
+                for a, b, old, url in zip(*(c[x].to_pylist() for x in ("id", "other", "old", "url_hash"))):
+                    if url is not None:
+                        known.add(url)
+                    elif old:
+                        met[b].append(a)
+                    else:
+                        close(a, b, sets[b][1], False)
+                continue
+            ends, runs = c["runs"].offsets.to_numpy(), c["runs"].values.to_numpy()
+            for i, (name, *key) in enumerate(zip(*(c[x].to_pylist() for x in ("id", *_CLASS)))):
+                own = runs[ends[i] : ends[i + 1]]
+                if k == 2:
+                    for a in met.pop(name, ()):
+                        close(a, name, own, True)
+                else:
+                    keys[name] = tuple(key)
+                    sets[name] = keys[name], own.copy()
+                    classes[name].add(keys[name])
+                    least[keys[name]] = min(name, least.get(keys[name], name))
+
+    by_id: dict[int, tuple] = {}
+    for name, order, url in ids:  # rows of one id are one row
+        by_id.setdefault(name, (order, set()))[1].update(() if url is None else (url,))
+    accepted = {}
+    for name, (order, urls) in by_id.items():
+        if order != last:
+            held.update(*waiting)
+            waiting, last = [], order
+        around = urls | classes[name]
+        for key in classes[name]:
+            around = around | near[key]
+        accepted[name] = held.isdisjoint(around) and known.isdisjoint(urls) and hit.isdisjoint(classes[name])
+        if accepted[name]:
+            waiting.append(urls | classes[name])
+    first: dict[tuple, int] = {}
+    for name, free in accepted.items():
+        if free and name in keys:
+            first[keys[name]] = min(name, first.get(keys[name], name))
+    order = list(by_id)
+    for at in range(0, len(order), 5_000):
+        told = order[at : at + 5_000]
+        kept = [sets.get(x) if accepted[x] else None for x in told]
+        fields = {
+            "id": pa.array(told, pa.int64()),
+            "accepted": pa.array([accepted[x] for x in told], pa.bool_()),
+            "first": pa.array([k is not None and first[k[0]] == x for x, k in zip(told, kept)], pa.bool_()),
+            "urls": pa.array([sorted(by_id[x][1]) if accepted[x] else [] for x in told], pa.list_(pa.string())),
+            **{c: pa.array([k and k[0][i] for k in kept], pa.int64()) for i, c in enumerate(_CLASS)},
+            "n": pa.array([None if k is None else len(k[1]) for k in kept], pa.int32()),
+            "runs": pa.array([None if k is None else k[1] for k in kept], pa.list_(pa.int64())),
+        }
+        yield pa.RecordBatch.from_arrays(list(fields.values()), names=list(fields))
+
+
+_WALKED = "id bigint, accepted boolean, first boolean, urls array<string>, hi bigint, lo bigint, simhash bigint, n int, runs array<bigint>"
+
+
 def _overlapping(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """The distinct rows of ``pairs`` (a, b, old) whose run sets overlap by 0.5: a is in ``left``, b in ``right``."""
     both = pairs.join(left.select(F.col("id").alias("a"), F.col("runs").alias("ra")), "a").join(right.select(F.col("id").alias("b"), F.col("runs").alias("rb")), "b")
@@ -123,12 +219,14 @@ class Ledger:
 
     def _grow(self, rows: DataFrame, table: str) -> None:
         column = _TABLES[table][0]
-        out = rows.withColumn("batch", F.lit(self.appended)).repartition(self.buckets, column).write.mode("append").format("parquet")
+        placed = rows.repartition(self.buckets, column)
+        placed = placed.distinct() if table == "urls" else placed
+        out = placed.withColumn("batch", F.lit(self.appended)).write.mode("append").format("parquet")
         out = out.option("compression", "zstd").option("path", f"{self.path}/{table}").partitionBy("batch")
         out.bucketBy(self.buckets, column).sortBy(column).saveAsTable(f"{self.name}_{table}")
 
-    def _append(self, rows: DataFrame, sets: DataFrame) -> None:
-        """Add accepted rows and their run sets to the three tables, then commit."""
+    def _append(self, rows: DataFrame, sets: DataFrame, firsts: DataFrame | None = None) -> None:
+        """Add accepted rows and their run sets to the three tables, then commit; ``firsts``: one run set per class, if at hand."""
         for table in ("sets", *_TABLES):  # what an append of this number that broke off has left
             fs, at = self._folder(f"{table}/batch={self.appended}")
             fs.delete(at, True)
@@ -136,10 +234,10 @@ class Ledger:
         placed = sets.withColumn("span", self._range()).sortWithinPartitions("span", "id")
         placed.write.option("compression", "zstd").option("parquet.block.size", str(4 << 20)).partitionBy("span").parquet(at)
         own = self.spark.read.schema(_SETS).option("basePath", f"{self.path}/sets").parquet(at)
-        probed = runjoin.postings(runjoin.one_per_class(own, "id", _CLASS, whole=self.appended == 0), "id", "simhash")
+        probed = runjoin.postings(runjoin.one_per_class(own, "id", _CLASS, whole=self.appended == 0) if firsts is None else firsts, "id", "simhash")
         self._both(
             lambda: self._grow(probed.select("id", "simhash", "n", "pos", "run"), "postings"),
-            lambda: self._grow(rows.filter("url_hash is not null").select("url_hash").distinct(), "urls"),
+            lambda: self._grow(rows.filter("url_hash is not null").select("url_hash"), "urls"),
         )
         fs, done = self._folder(f"commits/{self.appended}")
         fs.mkdirs(done)
@@ -157,13 +255,22 @@ class Ledger:
         The list of ranges is bounded by the history's length over ``span``.
         """
         ends = ids.groupBy(self._range().alias("s")).agg(F.min("id").alias("lo"), F.max("id").alias("hi")).collect()
-        stored = self.spark.read.schema(_SETS).parquet(f"{self.path}/sets").filter((F.col("batch") < self.appended) & F.col("span").isin([r.s for r in ends]))
+        return self._in_ranges([tuple(r) for r in ends]).join(ids, "id", "left_semi").select("id", "runs")
+
+    def _in_ranges(self, ends: list[tuple[int, int, int]]) -> DataFrame:
+        """Accepted run sets of the ranges (number, least id, greatest id)."""
+        stored = self.spark.read.schema(_SETS).parquet(f"{self.path}/sets").filter((F.col("batch") < self.appended) & F.col("span").isin([s for s, _, _ in ends]))
         if 0 < len(ends) <= _BOUNDS:
-            stored = stored.filter(reduce(Column.__or__, [F.col("id").between(r.lo, r.hi) for r in ends]))
-        return stored.join(ids, "id", "left_semi").select("id", "runs")
+            stored = stored.filter(reduce(Column.__or__, [F.col("id").between(lo, hi) for _, lo, hi in ends]))
+        return stored
+
+    def _by_bucket(self, rows: DataFrame, column: str, size: int) -> DataFrame:
+        """``rows`` of a batch, stored in ``size`` bytes, as they meet a table of this ledger; hashed if they are few per bucket."""
+        placed = rows.repartition(self.buckets, column)
+        return placed.hint("shuffle_hash") if size <= self.buckets * HASHED_BYTES else placed
 
-    def _candidates(self, probes: DataFrame, index: DataFrame) -> DataFrame:
-        """(a, b): a text of ``probes`` and one of ``index`` that may overlap by 0.5."""
+    def _met(self, probes: DataFrame, index: DataFrame) -> DataFrame:
+        """(a, b, least): the probed runs that a text of ``probes`` has in common with one of ``index``, one by one."""
         p, q = probes.alias("p"), index.alias("q")
         np_, nq = F.col("p.n"), F.col("q.n")
         met = p.join(
@@ -173,8 +280,20 @@ class Ledger:
             & _close(F.col("p.simhash"), F.col("q.simhash"))
             & runjoin.probed(np_, F.col("p.pos"), nq, F.col("q.pos")),
         )
-        counted = met.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b"), runjoin.least_met(np_, nq).alias("least"))
-        return counted.agg(F.count(F.lit(1)).alias("met")).filter("met >= least").select("a", "b")
+        return met.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), runjoin.least_met(np_, nq).alias("least"))
+
+    def _candidates(self, sets: DataFrame, rows: DataFrame, size: int, keys: int) -> DataFrame:
+        """(a, b, old, url_hash): texts of the batch and of the history (``old``) or the batch that may overlap by 0.5; and known addresses."""
+        if max(size, keys) <= ONE_TASK_BYTES:
+            classes = sets.coalesce(1).groupBy(*_CLASS).agg(F.min(F.struct("id", "n", "runs")).alias("first")).select("simhash", "first.*")
+        else:
+            classes = runjoin.one_per_class(sets, "id", _CLASS, whole=False)
+        probes = self._by_bucket(runjoin.postings(classes, "id", "simhash"), "run", size)
+        old, new = self._met(probes, self._table("postings")), self._met(probes, probes).filter("a < b")
+        both = old.withColumn("old", F.lit(True)).unionByName(new.withColumn("old", F.lit(False)))
+        pairs = both.groupBy("a", "b", "least", "old").agg(F.count(F.lit(1)).alias("met")).filter("met >= least").select("a", "b", "old")
+        addresses = self._by_bucket(rows.filter("url_hash is not null").select("url_hash"), "url_hash", keys)
+        return pairs.unionByName(self._table("urls").join(addresses, "url_hash", "left_semi"), allowMissingColumns=True)
 
     def decide(self, batch: DataFrame) -> DataFrame:
         """(id, accepted) for every row of ``batch``, taken one by one in ``order``.
@@ -185,25 +304,56 @@ class Ledger:
         """
         return self._decide(batch)[0]
 
-    def _decide(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The decisions on ``batch``, and its run sets."""
-        sets = cut(self._sets(batch), "batch-sets")
+    def _decide(self, batch: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+        """The decisions on ``batch``, and the step that appends its accepted rows."""
+        sets, rows = self._both(lambda: cut(self._sets(batch), "batch-sets"), lambda: cut(batch.select("id", "order", "url_hash"), "batch-keys"))
+        size, keys = _bytes(sets), _bytes(rows)
+        met = cut(self._candidates(sets, rows, size, keys), "batch-met")
+        if max(size, keys) <= ONE_TASK_BYTES and _bytes(met) <= FEW_BYTES:
+            walked = self._decide_few(rows, sets, met)
+            taken = walked.filter("accepted")
+            own = taken.filter("runs is not null").select("id", "simhash", "hi", "lo", "n", "runs", "first")
+            return walked.select("id", "accepted"), lambda: self._append(taken.select(F.explode("urls").alias("url_hash")), own.drop("first"), own.filter("first"))
+        verdict = self._decide_many(rows, sets, met)
+        taken = verdict.filter("accepted").select("id")
+        return verdict, lambda: self._append(rows.join(taken, "id", "left_semi"), sets.join(taken, "id", "left_semi"))
+
+    def _decide_few(self, rows: DataFrame, sets: DataFrame, met: DataFrame) -> DataFrame:
+        """As ``_decide_many``, in one task; with the run sets and addresses of accepted ids."""
+        ids = sorted({r.b for r in met.filter("old").select("b").collect()})  # as many as FEW_BYTES hold
+        found = met.filter(F.lit(False)).select(F.col("b").alias("id"), F.lit(None).cast("array<bigint>").alias("runs"))
+        if ids:
+            wanted = self.spark.createDataFrame(pa.table({"id": pa.array(ids, pa.int64())}))
+            found = self._in_ranges([(s, min(x), max(x)) for s, x in self._by_range(ids).items()]).join(F.broadcast(wanted), "id", "left_semi").select("id", "runs").repartition(1)
+        parts = [
+            sets.drop("n").withColumn("kind", F.lit(0)),
+            met.withColumnsRenamed({"a": "id", "b": "other"}).withColumn("kind", F.lit(1)),
+            found.withColumn("kind", F.lit(2)),
+            rows.withColumn("kind", F.lit(3)),
+        ]
+        both = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+        return cut(both.coalesce(1).sortWithinPartitions("kind", "order").mapInArrow(_walk, _WALKED), "batch-state")
+
+    def _by_range(self, ids: list[int]) -> dict[int, list[int]]:
+        out = defaultdict(list)
+        for i in ids:
+            out[i // self.span].append(i)
+        return out
+
+    def _decide_many(self, rows: DataFrame, sets: DataFrame, met: DataFrame) -> DataFrame:
         groups = sets.groupBy("hi", "lo", "simhash").agg(F.min("id").alias("cls"))
         member = sets.select("id", "hi", "lo", "simhash").distinct().join(groups, ["hi", "lo", "simhash"]).select("id", "cls")
-        probes = runjoin.postings(runjoin.one_per_class(sets, "id", _CLASS, whole=False), "id", "simhash")
-        old = self._candidates(probes, self._table("postings")).withColumn("old", F.lit(True))
-        new = self._candidates(probes, probes).filter("a < b").withColumn("old", F.lit(False))
-        urls = batch.select("id", "url_hash").join(self._table("urls"), "url_hash", "left_semi").select("id")
-        pairs, seen = self._both(lambda: cut(old.unionByName(new), "batch-candidates"), lambda: cut(urls, "batch-seen"))
+        pairs, known = met.filter("url_hash is null").drop("url_hash"), met.filter("url_hash is not null").select("url_hash")
+        seen = rows.join(known, "url_hash", "left_semi").select("id")
         own = sets.select("id", "runs")
         there = self._stored_sets(pairs.filter("old").select(F.col("b").alias("id")).distinct()).unionByName(own.join(pairs.filter("not old").select(F.col("b").alias("id")).distinct(), "id", "left_semi"))
         near = cut(_overlapping(pairs, own, there), "batch-near")
 
         like = member.join(near.filter("old").select(F.col("a").alias("cls")).distinct(), "cls", "left_semi").select("id")
         blocked = seen.unionByName(like).distinct().withColumn("blocked", F.lit(True))
-        nodes = batch.select("id", "order", "url_hash").join(member, "id", "left").join(blocked, "id", "left")
+        nodes = rows.join(member, "id", "left").join(blocked, "id", "left")
         nodes = nodes.withColumn("state", F.when(F.col("blocked"), 2).otherwise(0)).drop("blocked")
-        return self._resolve(cut(nodes, "batch-nodes"), near.filter("not old").select("a", "b")), sets
+        return self._resolve(cut(nodes, "batch-nodes"), near.filter("not old").select("a", "b"))
 
     def _resolve(self, nodes: DataFrame, near: DataFrame) -> DataFrame:
         """Accept in order: rounds over the rows that still wait for an earlier one.
@@ -242,9 +392,8 @@ class Ledger:
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Decide a batch, then append its accepted rows to the index; returns the decisions. Its texts are broken into runs once."""
-        verdict, sets = self._decide(batch)
-        taken = verdict.filter("accepted").select("id")
-        self._append(batch.join(taken, "id", "left_semi"), sets.join(taken, "id", "left_semi"))
+        verdict, append = self._decide(batch)
+        append()
         return verdict
 
     def remove(self) -> None:

@@ -117,6 +117,36 @@ def test_batches_one_by_one(spark, seed):
     assert sorted([(r.id,) for r in all_at_once.filter("not accepted").collect()], key=repr) == sorted(refused, key=repr)
 
 
+@pytest.mark.parametrize("bytes_", [None, -1, 32 << 20])
+def test_batches_in_one_task_or_many(spark, monkeypatch, bytes_):
+    """A small batch takes few jobs, as each costs driver memory; a large one, or one with many candidates, is decided alike."""
+    if bytes_ is not None:
+        monkeypatch.setattr(batches, "ONE_TASK_BYTES", bytes_)
+        monkeypatch.setattr(batches, "FEW_BYTES", -1)
+        monkeypatch.setattr(batches, "HASHED_BYTES", -1)
+    rng = random.Random(9)
+    texts = edits(rng, 90)
+    marks = [rng.choice([0, 1, 3, 1 << 40, -1, None]) for _ in texts]
+    hashes = [rng.choice([None, *(f"u{k}" for k in range(70))]) for _ in texts]
+    df = spark.createDataFrame([article(i + 1, body=t, title="", url_hash=h, simhash=m) for i, (t, m, h) in enumerate(zip(texts, marks, hashes))], ARTICLE)
+    part = lambda lo, hi: batches._rows(df.filter(f"article_id > {lo} and article_id <= {hi}"), F.col("article_id"))
+    ledger = batches.Ledger.create(part(0, 40), buckets=3, span=16)
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    before = jobs()
+    verdicts = [ledger.add(part(lo, lo + 25)) for lo in (40, 65)]
+    taken = jobs() - before
+    got = {r.id: r.accepted for v in verdicts for r in v.collect()}
+    held, want = [(run_set(t), m, h) for t, m, h in zip(texts[:40], marks, hashes)], {}
+    for i in range(40, 90):
+        s, m, h = run_set(texts[i]), marks[i], hashes[i]
+        want[i + 1] = not any((h and h == y) or (m and x and (((m ^ x) & (1 << 64) - 1).bit_count() <= 8) and overlap(s, z)) for z, x, y in held)
+        if want[i + 1]:
+            held.append((s, m, h))
+    assert got == want and set(want.values()) == {True, False}
+    assert bytes_ is not None or taken <= 40
+    ledger.remove()
+
+
 def test_ledger_is_opened_again(spark, tmp_path):
     """Two batches in one session, the next in another, with the leavings of an append that broke off between them."""
     rng = random.Random(11)
