@@ -232,6 +232,16 @@ def test_repeated_lines(spark):
     assert sitelines.found(df.limit(0)).count() == 0
 
 
+def test_repeated_lines_need_no_texts_told_apart(spark):
+    """Where documents decide, copies are not grouped and dates are not asked for: neither has a say in what is found."""
+    data = [article(i, body=f"share this {i}\nstory {'abcdefgh'[i]}") for i in range(8)] + [article(10 + i, body="copied line\nother copy") for i in range(5)]
+    df = spark.createDataFrame(data, ARTICLE)
+    want = rows(sitelines.mark_lines(df, sitelines.repeated_lines(df)))
+    got = sitelines.found(df.drop("published_at"))
+    assert rows(got) == want and len(want) == 8 + 2 * 5
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # lines, and documents of each outlet
+
+
 STORY = ["The council met on Monday. It agreed to fund the {0} road before winter came.", "Traders in the {0} market said prices rose. They blamed the late rains.", "Work on the {0} bridge will begin soon. Officials expect no delay this year."]
 
 
